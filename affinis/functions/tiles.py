@@ -107,7 +107,7 @@ def top_candidates(
         every(blocks).alias("block"),
         "query_id",
         F.lit(None).cast("long").alias("item_id"),
-        "vector",
+        F.col("vector").alias("vector"),  # a column of its own when both sides share a source
     )
     if excluded is not None:
         left = left.unionByName(
@@ -120,7 +120,10 @@ def top_candidates(
             )
         )
     right = candidates.select(
-        every(slices).alias("slice"), bucket("item_id", blocks).alias("block"), "item_id", "vector"
+        every(slices).alias("slice"),
+        bucket("item_id", blocks).alias("block"),
+        F.col("item_id").alias("item_id"),
+        F.col("vector").alias("vector"),
     )
     tiles = (
         left.groupBy("slice", "block")
