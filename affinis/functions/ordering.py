@@ -45,7 +45,7 @@ def split_hot(
 def with_running_total(
     df: DataFrame, order: Sequence[str | Column], weight: Column, out: str
 ) -> DataFrame:
-    """Add `out`: the total weight of all rows before this one in a total order.
+    """Add `out`: the total weight of all rows before this one; `order` must be total.
 
     Range partitioning gives ordered slices; each slice adds up its own rows and starts from
     the total of the slices before it. The sliced table is pinned because the slice bounds are
@@ -113,39 +113,62 @@ def quantiles(
     value: str,
     points: dict[str, float],
     hot_rows: int = HOT_ROWS,
-    small: bool | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles of `value` per group (nulls ignored).
 
     `points` maps output names to fractions. Larger inputs are first reduced to (group, value)
-    counts, which never meets a hot key; groups with more than `hot_rows` different values are
-    then walked by running totals.
+    counts, a grouping that no hot group can unbalance.
     """
     keys = list(keys)
     present = df.select(*keys, value).filter(F.col(value).isNotNull())
-    fractions = F.array(*[F.lit(float(f)) for f in points.values()])
+    if fits_one_task(present, hot_rows):
+        return _named(present.groupBy(*keys), F.percentile(value, _fractions(points)), points, keys)
+    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    return weighted_quantiles(pin(counts), keys, value, "_n", points, hot_rows)
 
-    def named(picked: DataFrame) -> DataFrame:
-        return picked.select(
-            *keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(points)]
-        )
 
-    if small if small is not None else fits_one_task(present, hot_rows):
-        return named(present.groupBy(*keys).agg(F.percentile(value, fractions).alias("_q")))
+def weighted_quantiles(
+    counts: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    weight: str,
+    points: dict[str, float],
+    hot_rows: int = HOT_ROWS,
+    small: bool | None = None,
+) -> DataFrame:
+    """`quantiles` of a table that holds each (group, value) with its number of rows.
 
-    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    if keys:
-        rest, hot = split_hot(counts, keys, hot_rows)
-    else:
-        rest, hot = (counts, None) if fits_one_task(counts, hot_rows) else (None, counts)
-    parts = []
-    if rest is not None:
-        parts.append(
-            named(rest.groupBy(*keys).agg(F.percentile(value, fractions, F.col("_n")).alias("_q")))
-        )
-    if hot is not None:
-        parts.append(_walked_quantiles(hot, keys, value, points))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    Groups with more than `hot_rows` different values are walked by running totals. `small` says
+    that the caller has already checked the whole table to be below that.
+    """
+    keys = list(keys)
+    present = counts.select(*keys, value, F.col(weight).alias("_n")).filter(F.col(value).isNotNull())
+
+    def direct(part: DataFrame) -> DataFrame:
+        picked = F.percentile(value, _fractions(points), F.col("_n"))
+        return _named(part.groupBy(*keys), picked, points, keys)
+
+    if small:
+        return direct(present)
+    if not keys:
+        if fits_one_task(present, hot_rows):
+            return direct(present)
+        merged = present.groupBy(value).agg(F.sum("_n").alias("_n"))
+        return _walked_quantiles(merged, keys, value, points)
+    rest, hot = split_hot(present, keys, hot_rows)
+    if hot is None:
+        return direct(rest)
+    return direct(rest).unionByName(_walked_quantiles(hot, keys, value, points))
+
+
+def _fractions(points: dict[str, float]) -> Column:
+    return F.array(*[F.lit(float(f)) for f in points.values()])
+
+
+def _named(grouped, picked: Column, points: dict[str, float], keys: list[str]) -> DataFrame:
+    return grouped.agg(picked.alias("_q")).select(
+        *keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(points)]
+    )
 
 
 def _walked_quantiles(

@@ -23,18 +23,17 @@ _TILE_SCHEMA = "query_id BIGINT, item_id BIGINT, score DOUBLE"
 
 
 def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the n largest per row; ties go to the lower column."""
+    """(row, column) of the n largest finite scores per row; ties go to the lower column."""
     columns = scores.shape[1]
     if columns > n:
-        floor = np.partition(scores, columns - n, axis=1)[:, columns - n]
-        rows, cols = np.nonzero(scores >= floor[:, None])
+        floor = np.partition(scores, columns - n, axis=1)[:, columns - n, None]
+        above, level = scores > floor, scores == floor
+        room = n - above.sum(axis=1, keepdims=True)
+        taken = above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= room))
     else:
-        rows, cols = np.nonzero(np.ones_like(scores, dtype=bool))
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-    kept = (place < n) & np.isfinite(scores[rows, cols])
-    return rows[kept], cols[kept]
+        taken = np.ones_like(scores, dtype=bool)
+    rows, cols = np.nonzero(taken & np.isfinite(scores))
+    return rows, cols
 
 
 def _tile_scorer(n: int, digits: int | None):
@@ -93,8 +92,16 @@ def top_candidates(
     is (query_id, item_id). Scores are dot products, rounded to `digits` when given; equal scores
     rank by item_id.
     """
-    slices = max(1, math.ceil(queries.count() / slice_rows))
+    asked = queries.count()
+    parallel = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, math.ceil(candidates.count() / block_rows))
+    slices = max(
+        1,
+        math.ceil(asked / slice_rows),
+        min(math.ceil(asked / CHUNK_ROWS), parallel // blocks),  # enough tiles for every core
+    )
+    # Few bytes but much work per tile: a fixed task count keeps tiles from being merged again.
+    tasks = min(slices * blocks, parallel)
 
     def bucket(column: str, count: int):
         return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
@@ -126,8 +133,9 @@ def top_candidates(
         F.col("vector").alias("vector"),
     )
     tiles = (
-        left.groupBy("slice", "block")
-        .cogroup(right.groupBy("slice", "block"))
+        left.repartition(tasks, "slice", "block")
+        .groupBy("slice", "block")
+        .cogroup(right.repartition(tasks, "slice", "block").groupBy("slice", "block"))
         .applyInPandas(_tile_scorer(n, digits), _TILE_SCHEMA)
     )
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "item_id"))

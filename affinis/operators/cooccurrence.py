@@ -141,29 +141,17 @@ def _with_wide(narrow: DataFrame, masks: DataFrame, min_cooccur: int, tile_items
     return completed.unionByName(alone.withColumnRenamed("wide_count", "cooccur_count"))
 
 
-def item_cooccurrence(
-    df: DataFrame,
-    min_cooccur: int = 2,
-    tile_items: int = TILE_ITEMS,
-    wide_basket: int = WIDE_BASKET,
-) -> DataFrame:
-    """(item_a < item_b, number of users holding both), at least `min_cooccur` users.
-
-    `tile_items` and `wide_basket` only shape the plan; the result does not depend on them.
-    """
-    baskets, _ = _with_support(_baskets(df), min_cooccur)
-    return _cooccurrence(baskets, min_cooccur, tile_items, wide_basket)
+def _bounded_baskets(df: DataFrame, tile_items: int) -> bool:
+    """Whether no user has more rows than one tile may hold: one pass over one column."""
+    rows = df.groupBy("user_id").count().agg(F.max("count").alias("rows")).first()["rows"]
+    return (rows or 0) <= tile_items
 
 
 def _cooccurrence(
     baskets: DataFrame, min_cooccur: int, tile_items: int, wide_basket: int
 ) -> DataFrame:
     enough = F.col("cooccur_count") >= min_cooccur
-    sizes = baskets.groupBy("user_id").agg(F.count(F.lit(1)).alias("size"))
-    widest = sizes.agg(F.max("size").alias("size")).first()["size"] or 0  # one number
-    if widest <= tile_items:
-        return _counted(_pairs_within(baskets, ["user_id"])).filter(enough)
-
+    sizes = pin(baskets.groupBy("user_id").agg(F.count(F.lit(1)).alias("size")))
     wide = pin(
         sizes.filter(F.col("size") > wide_basket)
         .orderBy(F.desc("size"), "user_id")
@@ -178,6 +166,29 @@ def _cooccurrence(
     return _with_wide(narrow, masks, min_cooccur, tile_items).filter(enough)
 
 
+def _pairs_and_degrees(
+    df: DataFrame, min_cooccur: int, tile_items: int, wide_basket: int
+) -> tuple[DataFrame, DataFrame]:
+    baskets, degrees = _with_support(_baskets(df), min_cooccur)
+    if _bounded_baskets(df, tile_items):
+        pairs = _counted(_pairs_within(baskets, ["user_id"]))
+        return pairs.filter(F.col("cooccur_count") >= min_cooccur), degrees
+    return _cooccurrence(pin(baskets), min_cooccur, tile_items, wide_basket), degrees
+
+
+def item_cooccurrence(
+    df: DataFrame,
+    min_cooccur: int = 2,
+    tile_items: int = TILE_ITEMS,
+    wide_basket: int = WIDE_BASKET,
+) -> DataFrame:
+    """(item_a < item_b, number of users holding both), at least `min_cooccur` users.
+
+    `tile_items` and `wide_basket` only shape the plan; the result does not depend on them.
+    """
+    return _pairs_and_degrees(df, min_cooccur, tile_items, wide_basket)[0]
+
+
 def item_jaccard(
     df: DataFrame,
     min_cooccur: int = 2,
@@ -185,8 +196,7 @@ def item_jaccard(
     wide_basket: int = WIDE_BASKET,
 ) -> DataFrame:
     """Co-occurring pairs with shared users over all users of either item."""
-    baskets, degrees = _with_support(_baskets(df), min_cooccur)
-    pairs = _cooccurrence(baskets, min_cooccur, tile_items, wide_basket)
+    pairs, degrees = _pairs_and_degrees(df, min_cooccur, tile_items, wide_basket)
     of_a = degrees.select(F.col("item_id").alias("item_a"), F.col("degree").alias("_da"))
     of_b = degrees.select(F.col("item_id").alias("item_b"), F.col("degree").alias("_db"))
     both = F.col("cooccur_count")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from affinis.functions.columns import as_timestamp, half_even, stable_mean
 from affinis.functions.ordering import HOT_ROWS, quantiles, with_position
 from affinis.operators.recommend import interaction_sparsity
+from affinis.session import pin
 
 # Histogram edges, heatmap size, day names in order.
 RATING_EDGES = [0.95, 1.45, 1.95, 2.45, 2.95, 3.45, 3.95, 4.45, 4.95, 5.05]
@@ -71,7 +72,7 @@ def event_type_distribution(df: DataFrame) -> DataFrame:
     """Count and percentage per event type."""
     if "event_type" not in df.columns:
         return df.sparkSession.createDataFrame([], "event_type STRING, count BIGINT, pct DOUBLE")
-    counts = _counts(df, "event_type", "count")
+    counts = pin(_counts(df, "event_type", "count"))
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("pct", half_even(F.col("count") * 100.0 / total, 1))
 
@@ -111,7 +112,9 @@ def rating_histogram(df: DataFrame, edges: Sequence[float] = tuple(RATING_EDGES)
 
 def activity_histogram(df: DataFrame, bins: int = ACTIVITY_BINS) -> DataFrame:
     """Users per equal-width bin of their interaction count; equal counts span one unit."""
-    per_count = _user_counts(df).groupBy("interactions").agg(F.count(F.lit(1)).alias("users"))
+    per_count = pin(
+        _user_counts(df).groupBy("interactions").agg(F.count(F.lit(1)).alias("users"))
+    )
     span = per_count.agg(
         F.struct(
             F.min("interactions").cast("double").alias("low"),

@@ -18,6 +18,7 @@ from affinis.functions.columns import (
 )
 from affinis.operators.dedup import dedup_keep_first
 from affinis.schemas import EVENT_TYPES
+from affinis.session import pin
 
 # Engagement weights and the recency of users without a valid time.
 EVENT_WEIGHTS = {"purchase": 4, "wishlist": 2, "cart": 2, "view": 1}
@@ -106,7 +107,12 @@ def item_activity_agg(df: DataFrame) -> DataFrame:
 
 
 def popularity_score(items: DataFrame, count: str = "total_interactions") -> DataFrame:
-    """Add the log of the interaction count, scaled to [0, 1] over all items."""
+    """Add the log of the interaction count, scaled to [0, 1] over all items.
+
+    The items (one row each) are written first: their bounds and the scaling then read them back
+    instead of aggregating the interactions twice.
+    """
+    items = pin(items)
     bounds = items.select(F.col(count)).agg(
         F.struct(F.log1p(F.min(count)).alias("low"), F.log1p(F.max(count)).alias("high"))
     ).scalar()

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.functions.columns import as_timestamp, clip, half_even
-from affinis.functions.ordering import HOT_ROWS, fits_one_task, quantiles
+from affinis.functions.ordering import HOT_ROWS, fits_one_task, quantiles, weighted_quantiles
 from affinis.operators.dedup import dedup_keep_first, dedup_keep_latest
+from affinis.session import pin
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str] = ("user_id", "item_id")) -> DataFrame:
@@ -19,18 +20,26 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str] = ("user_id", "item_id"))
 def impute_group_median(
     df: DataFrame, key: str = "user_id", value: str = "rating", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Missing values become the group's median; what is left, the median after that fill."""
-    small = fits_one_task(df.select(key), hot_rows)
-    per_group = quantiles(
-        df.filter(F.col(key).isNotNull()), [key], value, {"_median": 0.5}, hot_rows, small
+    """Missing values become the group's median; what is left, the median after that fill.
+
+    Both medians come from one reduced table of (group, value) counts: a fill adds the group's
+    median as often as the group misses a value, so the filled rows need not exist to be counted.
+    """
+    counts = pin(df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
+    small = fits_one_task(counts, hot_rows)
+    grouped = counts.filter(F.col(key).isNotNull())
+    medians = weighted_quantiles(grouped, [key], value, "_n", {"_median": 0.5}, hot_rows, small)
+    missing = grouped.filter(F.col(value).isNull()).select(key, F.col("_n").alias("_missing"))
+    fills = medians.join(missing, key).select(
+        F.col("_median").alias(value), F.col("_missing").alias("_n")
     )
-    filled = (
-        df.join(per_group, key, "left")
-        .withColumn(value, F.coalesce(value, "_median"))
+    after = counts.filter(F.col(value).isNotNull()).select(value, "_n").unionByName(fills)
+    overall = weighted_quantiles(after, [], value, "_n", {"_median": 0.5}, hot_rows, small)
+    return (
+        df.join(medians, key, "left")
+        .withColumn(value, F.coalesce(F.col(value), F.col("_median"), overall.scalar()))
         .select(*df.columns)
     )
-    overall = quantiles(filled, [], value, {"_median": 0.5}, hot_rows, small)
-    return filled.withColumn(value, F.coalesce(F.col(value), overall.scalar()))
 
 
 def clip_range(df: DataFrame, column: str, low: float | None, high: float | None) -> DataFrame:

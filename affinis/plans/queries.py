@@ -346,7 +346,7 @@ def user_rating_gap(spark, sf):
 
 @query
 def interaction_features(spark, sf):
-    return features.interaction_features(ix_clean(spark, sf), ["seq"])
+    return features.interaction_features(pin(ix_clean(spark, sf)), ["seq"])
 
 
 @query
@@ -528,7 +528,7 @@ def evaluate_recommendations(spark, sf):
 @query
 def truncated_svd(spark, sf):
     """Singular values as the lengths of the user factor columns (free of the sign of a factor)."""
-    model = svd.truncated_svd(ix_clean(spark, sf), COMPONENTS)
+    model = svd.truncated_svd(pin(ix_clean(spark, sf)), COMPONENTS)
     return (
         model.user_factors.select(F.posexplode("vector").alias("component", "v"))
         .groupBy("component")

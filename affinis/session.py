@@ -22,6 +22,8 @@ def get_session(app: str = "affinis", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # The call-site capture costs milliseconds per column expression when plans are built.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
