@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.columns import as_timestamp, half_even, stable_mean
+from affinis.functions.columns import MICRO, as_timestamp, fixed_point, half_even, stable_mean
 from affinis.functions.ordering import HOT_ROWS, quantiles, with_position
-from affinis.operators.recommend import interaction_sparsity
 from affinis.session import pin
 
-# Histogram edges, heatmap size, day names in order.
+# Histogram edges, heatmap and list sizes, day names in order.
 RATING_EDGES = [0.95, 1.45, 1.95, 2.45, 2.95, 3.45, 3.95, 4.45, 4.95, 5.05]
 ACTIVITY_BINS = 30
 HEATMAP_USERS, HEATMAP_ITEMS = 50, 80
+SUMMARY_ITEMS = 10
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
@@ -53,12 +53,8 @@ def rating_distribution(df: DataFrame) -> DataFrame:
     return _counts(df, "rating", "count")
 
 
-def user_activity_stats(df: DataFrame) -> DataFrame:
-    """Least, most, mean and median number of interactions per user.
-
-    The median comes from how many users have each count, so few values reach its aggregate.
-    """
-    per_count = _user_counts(df).groupBy("interactions").agg(F.count(F.lit(1)).alias("users"))
+def _activity_stats(users: DataFrame) -> DataFrame:
+    per_count = users.groupBy("interactions").agg(F.count(F.lit(1)).alias("users"))
     total = F.sum(F.col("interactions") * F.col("users")).cast("double")
     return per_count.agg(
         F.min("interactions").alias("min"),
@@ -68,6 +64,15 @@ def user_activity_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def user_activity_stats(df: DataFrame) -> DataFrame:
+    """Least, most, mean and median number of interactions per user.
+
+    The median comes from how many users have each count: with n rows there are at most
+    sqrt(2 n) different counts.
+    """
+    return _activity_stats(_user_counts(df))
+
+
 def event_type_distribution(df: DataFrame) -> DataFrame:
     """Count and percentage per event type."""
     if "event_type" not in df.columns:
@@ -213,7 +218,15 @@ def day_hour_density(df: DataFrame) -> DataFrame:
 
 
 def eda_summary(df: DataFrame, products: DataFrame) -> DataFrame:
-    """All summary figures as (section, key, value). Give a written table: it is read several times."""
+    """All summary figures as (section, key, value).
+
+    The interactions are read once per counted column; every figure then comes from the counts per
+    user, item and rating.
+    """
+    users, items = pin(_user_counts(df)), pin(_item_counts(df))
+    ratings = pin(df.groupBy("rating").agg(F.count(F.lit(1)).alias("count")))
+    n_users = users.agg(F.count(F.lit(1))).scalar().cast("double")
+    n_items = items.agg(F.count(F.lit(1))).scalar().cast("double")
 
     def rows(section: str, source: DataFrame, key: Column, value: Column) -> DataFrame:
         return source.select(
@@ -223,37 +236,56 @@ def eda_summary(df: DataFrame, products: DataFrame) -> DataFrame:
         )
 
     def unpivoted(section: str, source: DataFrame) -> DataFrame:
-        long = source.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
-                        for c in source.columns
-                    ]
-                )
-            )
-        )
+        pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in source.columns)
+        long = source.selectExpr(f"stack({len(source.columns)}, {pairs}) AS (k, v)")
         return rows(section, long, F.col("k"), F.col("v"))
 
-    sizes = interaction_sparsity(df).select(
-        "n_users",
-        "n_items",
-        "n_interactions",
-        half_even(F.col("sparsity") * 100, 2).alias("sparsity_pct"),
-    )
-    ratings = df.agg(
-        half_even(stable_mean(F.col("rating")), 3).alias("avg_rating"),
-        half_even(F.stddev_samp("rating"), 3).alias("rating_std"),
+    x, n = F.col("rating"), F.col("count")
+    rated = F.sum(F.when(x.isNotNull(), n)).cast("double")
+    mean = F.try_divide(F.sum(fixed_point(x) * n).cast("double"), rated * F.lit(float(MICRO)))
+    totals = (
+        ratings.agg(
+            F.sum(n).alias("n_interactions"),
+            mean.alias("mean"),
+            F.sum(x * x * n).alias("squares"),
+            rated.alias("rated"),
+        )
+        .withColumn("n_users", n_users)
+        .withColumn("n_items", n_items)
+        .select(
+            "n_users",
+            "n_items",
+            "n_interactions",
+            half_even(
+                (1 - F.try_divide(F.col("n_interactions"), F.col("n_users") * F.col("n_items"))) * 100, 2
+            ).alias("sparsity_pct"),
+            half_even(F.col("mean"), 3).alias("avg_rating"),
+            half_even(
+                F.sqrt(
+                    F.try_divide(
+                        F.greatest(
+                            F.col("squares") - F.col("rated") * F.col("mean") * F.col("mean"), F.lit(0.0)
+                        ),
+                        F.when(F.col("rated") > 1, F.col("rated") - 1),
+                    )
+                ),
+                3,
+            ).alias("rating_std"),
+        )
     )
+    top = items.orderBy(F.desc("interactions"), "item_id").limit(SUMMARY_ITEMS)
     parts = [
-        unpivoted("totals", sizes),
-        unpivoted("totals", ratings),
-        rows("rating_distribution", rating_distribution(df), F.col("rating"), F.col("count")),
-        rows("top_10_items", top_items(df, 10), F.col("item_id"), F.col("interactions")),
-        unpivoted("user_activity", user_activity_stats(df)),
-        rows("event_types", event_type_distribution(df), F.col("event_type"), F.col("count")),
-        rows("product_categories", category_distribution(products), F.col("category"), F.col("count")),
+        unpivoted("totals", totals),
+        rows("rating_distribution", ratings.filter(x.isNotNull()), x, n),
+        rows("top_10_items", top, F.col("item_id"), F.col("interactions")),
+        unpivoted("user_activity", _activity_stats(users)),
     ]
+    if "event_type" in df.columns:
+        parts.append(rows("event_types", _counts(df, "event_type", "count"), F.col("event_type"), n))
+    if "category" in products.columns:
+        parts.append(
+            rows("product_categories", category_distribution(products), F.col("category"), n)
+        )
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.functions.ordering import HOT_ROWS, with_position
+from affinis.session import pin
 
 
 def _label(column: str):
@@ -13,10 +14,12 @@ def _label(column: str):
 
 
 def fit_labels(df: DataFrame, column: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(value, code) for the distinct values in text order; null is the value 'nan'."""
-    return with_position(
-        df.select(_label(column).alias("value")).distinct(), ["value"], "code", hot_rows
-    )
+    """(value, code) for the distinct values in text order; null is the value 'nan'.
+
+    The distinct values are written once, so applying the codes does not read the table again.
+    """
+    values = pin(df.select(_label(column).alias("value")).distinct())
+    return with_position(values, ["value"], "code", hot_rows)
 
 
 def apply_labels(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:

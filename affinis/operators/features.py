@@ -25,10 +25,14 @@ EVENT_WEIGHTS = {"purchase": 4, "wishlist": 2, "cart": 2, "view": 1}
 NO_RECENCY_DAYS = 999.0
 
 
-def _user_activity() -> list[Column]:
+def _distinct(column: str, approximate: bool) -> Column:
+    return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
+
+
+def _user_activity(approximate: bool = False) -> list[Column]:
     return [
         F.count("item_id").alias("total_interactions"),
-        F.count_distinct("item_id").alias("unique_items"),
+        _distinct("item_id", approximate).alias("unique_items"),
         stable_mean(F.col("rating")).alias("avg_rating_given"),
         F.stddev_samp("rating").alias("std_rating_given"),
         F.max("_time").alias("last_interaction"),
@@ -49,8 +53,8 @@ def _by_user(df: DataFrame):
     return known.groupBy("user_id")
 
 
-def user_activity_agg(df: DataFrame) -> DataFrame:
-    return _by_user(df).agg(*_user_activity())
+def user_activity_agg(df: DataFrame, approximate: bool = False) -> DataFrame:
+    return _by_user(df).agg(*_user_activity(approximate))
 
 
 def event_type_counts(df: DataFrame) -> DataFrame:
@@ -73,12 +77,19 @@ def recency_days(last: Column, as_of: str | None) -> Column:
 
 
 def user_features(
-    df: DataFrame, as_of: str | None = None, weights: dict[str, int] | None = None
+    df: DataFrame,
+    as_of: str | None = None,
+    weights: dict[str, int] | None = None,
+    approximate: bool = False,
 ) -> DataFrame:
-    """One row per user from a single grouping of the interactions."""
+    """One row per user from a single grouping of the interactions.
+
+    The exact distinct count shuffles by (user, item) first, which also splits very active users;
+    `approximate=True` saves that shuffle on tables too large for it.
+    """
     return (
         _by_user(df)
-        .agg(*_user_activity(), *_event_counts(df))
+        .agg(*_user_activity(approximate), *_event_counts(df))
         .select(
             "user_id",
             "total_interactions",
@@ -93,13 +104,13 @@ def user_features(
     )
 
 
-def item_activity_agg(df: DataFrame) -> DataFrame:
+def item_activity_agg(df: DataFrame, approximate: bool = False) -> DataFrame:
     return (
         df.filter(F.col("item_id").isNotNull())
         .groupBy("item_id")
         .agg(
             F.count("user_id").alias("total_interactions"),
-            F.count_distinct("user_id").alias("unique_users"),
+            _distinct("user_id", approximate).alias("unique_users"),
             stable_mean(F.col("rating")).alias("avg_rating_received"),
             F.stddev_samp("rating").alias("std_rating_received"),
         )

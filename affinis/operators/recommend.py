@@ -167,13 +167,18 @@ def train_svd(
     users = test.select("user_id").distinct()
     recommended = pin(recommend_top_k(model, users, train, k))
     quality = evaluate_recommendations(recommended, relevance_ground_truth(test), users, k)
-    sizes = split.agg(
-        F.count_distinct("user_id").alias("n_users"),
-        F.count_distinct("item_id").alias("n_items"),
-        F.count_distinct(F.when(~F.col("is_test"), F.col("user_id"))).alias("train_users"),
-        F.count_distinct(F.when(F.col("is_test"), F.col("user_id"))).alias("test_users"),
-        F.count_if(~F.col("is_test")).alias("train_rows"),
-        F.count_if(F.col("is_test")).alias("test_rows"),
+    per_user = split.groupBy("user_id").agg(
+        F.count_if(~F.col("is_test")).alias("train"), F.count_if(F.col("is_test")).alias("test")
+    )
+    sizes = per_user.agg(
+        F.count(F.lit(1)).alias("n_users"),
+        F.count_if(F.col("train") > 0).alias("train_users"),
+        F.count_if(F.col("test") > 0).alias("test_users"),
+        F.sum("train").alias("train_rows"),
+        F.sum("test").alias("test_rows"),
+    )
+    sizes = sizes.withColumn(
+        "n_items", split.agg(F.count_distinct("item_id")).scalar()
     ).select(F.struct("*").alias("s"))
     cells = F.col("s.n_users").cast("double") * F.col("s.n_items")
     rows = F.col("s.train_rows") + F.col("s.test_rows")
