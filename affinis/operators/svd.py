@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.functions.ordering import with_position
+from affinis.operators.dedup import dedup_keep_latest
 from affinis.session import pin
 
 GRAM_LIMIT = 2_048  # items; a Gramian of at most 32 MiB
@@ -140,8 +141,15 @@ def truncated_svd(
     gram_limit: int = GRAM_LIMIT,
     iterations: int = ITERATIONS,
     seed: int = 42,
+    latest_by: str | None = None,
 ) -> SvdModel:
-    """Rank-k factors of the zero-filled rating matrix; one rating per (user, item) expected."""
+    """Rank-k factors of the zero-filled rating matrix.
+
+    The table is read several times: give a written one. Each (user, item) must occur once, as after
+    cleaning; `latest_by` names a time column by which the last rating of a pair is kept first.
+    """
+    if latest_by:
+        ratings = pin(dedup_keep_latest(ratings, time=latest_by, tiebreak=["rating"]))
     cells = _cells(ratings)
     items = cells.select("item_id").distinct()
     n_items = items.count()

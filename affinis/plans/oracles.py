@@ -510,6 +510,8 @@ _add(
     *_EVALUATION,
 )
 
+_add("svd_reconstruction", "ix_clean", "SELECT user_id, item_id, round_even(rating, 6) AS rating FROM ix_clean")
+
 # -- content similarity ----------------------------------------------------------------------------------
 _CONTENT = ["price_normalized", "category_encoded", "popularity_score", "avg_rating_received", "total_interactions"]
 _NORM = "sqrt(" + " + ".join(f"{c} * {c}" for c in _CONTENT) + ")"
@@ -692,7 +694,7 @@ _add(
        UNION ALL SELECT 'item_activity', 'v1', count(DISTINCT item_id) FROM ix_orders""",
 )
 _add(
-    "infer_defs",
+    "infer_feature_defs",
     "ix_orders",
     """SELECT c AS feature, 'bigint' AS dtype, c AS description, count(DISTINCT item_id) AS values
        FROM ix_orders, (VALUES ('item_id'), ('total_interactions'), ('unique_users')) f(c) GROUP BY c""",

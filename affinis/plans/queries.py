@@ -536,6 +536,20 @@ def truncated_svd(spark, sf):
     )
 
 
+@query
+def svd_reconstruction(spark, sf):
+    """With as many components as items the factors give every rating back."""
+    clean = pin(ix_clean(spark, sf))
+    model = svd.truncated_svd(clean, svd.GRAM_LIMIT)
+    users = model.user_factors.withColumnRenamed("vector", "u")
+    items = model.item_factors.withColumnRenamed("vector", "v")
+    terms = F.zip_with("u", "v", lambda a, b: a * b)
+    product = F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
+    return (
+        clean.join(users, "user_id").join(items, "item_id").select("user_id", "item_id", half_even(product, 6).alias("rating"))
+    )
+
+
 @query
 def explained_variance(spark, sf):
     clean = pin(ix_clean(spark, sf))
@@ -677,8 +691,7 @@ def fs_registry(spark, sf):
     return _store(spark, sf).latest_of_all().select("name", "version", "rows")
 
 
-@query
-def infer_defs(spark, sf):
+def _inferred(spark, sf):
     """Inferred definitions of a stored group, with the number of values each column holds."""
     store = _store(spark, sf)
     data = store.read("item_activity")
@@ -690,6 +703,9 @@ def infer_defs(spark, sf):
     return counted.select(F.inline(F.array(*rows)))
 
 
+QUERIES["infer_feature_defs"] = _inferred
+
+
 @query
 def feature_catalog(spark, sf):
     store = FeatureStore(spark, scratch_dir(spark, "store"))
