@@ -32,8 +32,9 @@ def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         taken = above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= room))
     else:
         taken = np.ones_like(scores, dtype=bool)
-    rows, cols = np.nonzero(taken & np.isfinite(scores))
-    return rows, cols
+    rows, cols = np.nonzero(taken)
+    finite = np.isfinite(scores[rows, cols])
+    return rows[finite], cols[finite]
 
 
 def _tile_scorer(n: int, digits: int | None):

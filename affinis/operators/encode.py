@@ -53,7 +53,10 @@ def min_max_scale(df: DataFrame, column: str = "price", out: str = "price_normal
 def encode_products(
     df: DataFrame, hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Coded category and brand, scaled price, and the fitted tables."""
+    """Coded category and brand, scaled price, and the fitted tables.
+
+    Fitting and applying read `df` several times: give a written or pinned table.
+    """
     encoders: dict[str, DataFrame] = {}
     out = df
     for column in ("category", "brand"):

@@ -18,6 +18,7 @@ from affinis.operators.features import interaction_features, item_features, user
 from affinis.operators.prepare import clean_interactions, clean_products
 from affinis.operators.quality import INTERACTIONS_SUITE, PRODUCTS_SUITE, run_suite
 from affinis.operators.recommend import train_content, train_svd
+from affinis.session import pin
 from affinis.sources.checks import missing_columns
 from affinis.sources.feature_store import FEATURE_DEFS, GROUP_ENTITIES, FeatureStore
 from affinis.sources.readers import read_feature_table, scan_latest_snapshot
@@ -68,7 +69,7 @@ def prepare(
         _newest(spark, f"{root}/{RAW_INTERACTIONS}"), tiebreak, hot_rows=hot_rows
     )
     write_processed_snapshot(cleaned, f"{root}/processed", CLEAN)
-    catalog = clean_products(_newest(spark, f"{root}/{RAW_PRODUCTS}"), product_order, hot_rows)
+    catalog = pin(clean_products(_newest(spark, f"{root}/{RAW_PRODUCTS}"), product_order, hot_rows))
     write_processed_snapshot(encode_products(catalog, hot_rows)[0], f"{root}/processed", CATALOG)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from affinis.operators.encode import encode_products
 from affinis.operators.prepare import clean_interactions, clean_products
+from affinis.session import pin
 
 AS_OF = "2025-01-01 00:00:00"
 ORDER_KEYS = ["timestamp", "ord", "line", "item_id", "rating", "event_type"]
@@ -83,7 +84,7 @@ def ix_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_products(clean_products(products(spark, sf_dir)))[0]
+    return encode_products(pin(clean_products(products(spark, sf_dir))))[0]
 
 
 _SQL_EVENT_TYPE = _EVENT_TYPE

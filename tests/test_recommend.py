@@ -47,6 +47,13 @@ def test_explained_variance(spark, matrix):
     assert found == pytest.approx(want, abs=1e-10)
 
 
+def test_repeated_pair_keeps_its_latest_rating(spark):
+    rows = [(1, 1, 5.0, "b"), (1, 1, 2.0, "c"), (1, 1, 4.0, "a"), (2, 2, 3.0, "a")]
+    ratings = spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, rating DOUBLE, t STRING")
+    model = svd.truncated_svd(ratings, 2, latest_by="t")
+    assert np.allclose(model.singular_values, [3.0, 2.0])
+
+
 def test_iterated_factors_beyond_the_gramian_limit(spark):
     rng = np.random.default_rng(4)
     low = rng.normal(size=(80, 4)) @ np.diag([9.0, 6.0, 4.0, 2.0]) @ rng.normal(size=(4, 40))
