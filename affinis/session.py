@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,9 +40,10 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="affinis-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="affinis-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
@@ -50,8 +52,24 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write `df` once to reliable storage; later uses see the very same rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+    """Write `df` once to reliable storage; later uses see the very same rows.
+
+    Parquet keeps column pruning, pushed filters and size statistics for what reads it afterwards.
+    """
+    path = scratch_dir(df.sparkSession, "pin")
+    df.write.parquet(path)
+    pinned = df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned._pinned_at = path
+    return pinned
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Remove the folders of pinned tables once nothing lazy reads them any more."""
+    for df in frames:
+        drop_folder(df.sparkSession, df._pinned_at)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
