@@ -87,6 +87,9 @@ def with_stats(df: DataFrame, text_col: str, into: str) -> DataFrame:
         F.size(line_list).cast("long").alias("n_lines"),
         (F.size(line_list) - F.size(F.array_distinct(line_list))).cast("long").alias("n_dup_lines"),
         F.coalesce(_repeat_words(F.col(gram_list)), F.lit(0)).cast("long").alias("n_repeat_words"),
+        # Not deterministic to the optimizer, so no filter on the statistics moves below the columns above,
+        # where it would build their arrays again for each element.
+        F.spark_partition_id().alias("part"),
     )
     return out.withColumn(into, stats).drop(ws, hashes, line_list, gram_list)
 
