@@ -58,3 +58,22 @@ SELECT d.doc_id, CASE WHEN n_removed > 0 THEN coalesce(kept.text, '') ELSE d.tex
        coalesce(span.n, 0) AS n_spans
 FROM documents d JOIN kept USING (doc_id) LEFT JOIN span USING (doc_id)
 """
+
+ORACLES["op5_warc_bundles"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+w AS (SELECT payload_digest, max(page_id) AS winner FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < winner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < winner THEN winner END AS refers_to
+FROM p LEFT JOIN w USING (payload_digest)
+"""
+
+ORACLES["op1_html_blocks"] = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(coalesce(regexp_extract(html, '<article>(.*)</article>', 1, 's'), ''),
+         '</?(p|h1|br)>', ' ', 'g'), '</?b>', '', 'g') AS t FROM pages),
+d AS (
+  SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(replace(replace(t, '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'),
+         '&gt;', '>'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text) AS n_chars FROM d
+"""

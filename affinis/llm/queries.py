@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import line_dedup, packing, quality_rules, token_files
+from affinis.llm import html_blocks, line_dedup, packing, quality_rules, token_files, warc
 from affinis.llm.common import table
 from affinis.llm.oracles import ORACLES as ORACLES
 
@@ -20,6 +20,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+@query
+def op1_html_blocks(spark, sf):
+    return html_blocks.extract(table(spark, sf, "pages"))
+
+
 @query
 def op2_quality_rules(spark, sf):
     found = quality_rules.assess(table(spark, sf, "documents"))
@@ -33,6 +38,12 @@ def op3_token_files(spark, sf):
     return token_files.token_round_trip(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
 
 
+@query
+def op5_warc_bundles(spark, sf):
+    found = warc.warc_round_trip(table(spark, sf, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op7_harmonic_packing(spark, sf):
     return packing.pack(packing.pieces(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), end_id=2))
