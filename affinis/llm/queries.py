@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import html_blocks, line_dedup, packing, quality_rules, token_files, warc
+from affinis.llm import (
+    html_blocks,
+    interpolated_lm,
+    line_dedup,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    token_files,
+    warc,
+)
 from affinis.llm.common import table
 from affinis.llm.oracles import ORACLES as ORACLES
 
@@ -38,12 +47,22 @@ def op3_token_files(spark, sf):
     return token_files.token_round_trip(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
 
 
+@query
+def op4_suffix_dedup(spark, sf):
+    return suffix_dedup.dedup(table(spark, sf, "documents"), keep="none")
+
+
 @query
 def op5_warc_bundles(spark, sf):
     found = warc.warc_round_trip(table(spark, sf, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op6_interpolated_lm(spark, sf):
+    return interpolated_lm.score(table(spark, sf, "documents"))
+
+
 @query
 def op7_harmonic_packing(spark, sf):
     return packing.pack(packing.pieces(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), end_id=2))

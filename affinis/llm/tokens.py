@@ -15,7 +15,7 @@ import numpy as np
 
 # Letters that no normalisation changes and that form one word of the tokenizer, then punctuation.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-MAX_CHUNKS, MAX_WORDS = 300_000, 500_000
+MAX_CHUNKS, MAX_WORDS = 700_000, 700_000
 
 
 class Encoder:
