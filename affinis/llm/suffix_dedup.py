@@ -2,9 +2,9 @@
 
 Every string of `size` bytes contains runs of ANCHOR bytes; the one with the smallest hash is its mark, which depends on the
 string alone. So equal strings have equal marks, and neighbouring strings mostly share one: a document falls into regions of
-consecutive strings with the same mark (about one for each 70 bytes). Marks that occur once cannot hold a repeat and are left
-out; regions with equal content are repeats as a whole. What remains are marks with different contents, as at the edges of
-shared passages. There a suffix order of the regions' strings is built (ranks by prefix doubling, equal strings in order of their
+consecutive strings with the same mark (about one for each 70 bytes). Marks that occur once, and once in their region, cannot hold a repeat and
+are left out; regions with equal content are repeats as a whole. What remains are marks with different contents, as at the
+edges of shared passages, or with a mark twice in a region, as in periodic text. There a suffix order of the regions' strings is built (ranks by prefix doubling, equal strings in order of their
 position), in which the previous smaller position of a string is its entry before: that gives the longest previous factor
 up to `size`, the earlier match, and with it all strings that start anywhere else too. With keep="first" only strings
 with an earlier match are covered, so the first copy stays; with keep="none" all copies go.
@@ -56,20 +56,25 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def regions(texts: list[bytes], size: int = SIZE, anchor: int = ANCHOR):
-    """(text number, start, number of strings, mark, content hash) arrays of the regions of some texts."""
+    """(text number, start, number of strings, mark, content hash, mark occurs twice) arrays of the regions of some texts."""
     joined = np.frombuffer(b"".join(texts), dtype=np.uint8)
     lengths = np.array([len(t) for t in texts])
     begin = np.cumsum(lengths) - lengths
     if len(joined) < size:
-        return [np.empty(0, np.int64)] * 5
+        return [*[np.empty(0, np.int64)] * 5, np.empty(0, bool)]
     total = _sums(joined)
     at = np.arange(len(joined) - anchor + 1)
-    marks = sliding_min(_hash(total, at, at + anchor), size - anchor + 1)
+    width = size - anchor + 1
+    grams = _hash(total, at, at + anchor)
+    marks = sliding_min(grams, width)
+    # Where runs are the mark of some string: there the largest mark around equals the run's own hash.
+    edge = np.zeros(width - 1, dtype=np.uint64)
+    at = np.flatnonzero(grams == ~sliding_min(~np.concatenate([edge, marks, edge]), width))
     # A string starts only where it ends in the same text.
     owner = np.repeat(np.arange(len(texts)), np.maximum(lengths - size + 1, 0))
     starts = np.arange(len(owner)) + (begin - (np.cumsum(np.maximum(lengths - size + 1, 0)) - np.maximum(lengths - size + 1, 0)))[owner]
     if not len(starts):
-        return [np.empty(0, np.int64)] * 5
+        return [*[np.empty(0, np.int64)] * 5, np.empty(0, bool)]
     mark = marks[starts]
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (mark[1:] != mark[:-1]) | (owner[1:] != owner[:-1])
@@ -77,8 +82,11 @@ def regions(texts: list[bytes], size: int = SIZE, anchor: int = ANCHOR):
     inside = np.arange(len(starts)) - np.repeat(first, np.diff(first, append=len(starts)))
     first = np.flatnonzero(new | (inside % LONGEST == 0))
     n = np.diff(first, append=len(starts))
-    s = starts[first]
-    return owner[first], s - begin[owner[first]], n, mark[first].view(np.int64), _hash(total, s, s + n + size - 1).view(np.int64)
+    s, mark = starts[first], mark[first]
+    lo, hi = np.searchsorted(at, s), np.searchsorted(at, s + n + width - 1)
+    inside = np.arange((hi - lo).sum()) + np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo)
+    twice = np.add.reduceat(grams[at[inside]] == np.repeat(mark, hi - lo), np.cumsum(hi - lo) - (hi - lo), dtype=np.int64) > 1
+    return owner[first], s - begin[owner[first]], n, mark.view(np.int64), _hash(total, s, s + n + size - 1).view(np.int64), twice
 
 
 def _find(docs: DataFrame, size: int) -> DataFrame:
@@ -92,15 +100,15 @@ def _find(docs: DataFrame, size: int) -> DataFrame:
             for k, text in enumerate(texts):
                 held += len(text)
                 if held >= BLOCK or k == len(texts) - 1:
-                    owner, start, n, mark, content = regions(texts[lo : k + 1], size)
+                    owner, start, n, mark, content, twice = regions(texts[lo : k + 1], size)
                     owner = owner + lo
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[owner]), pa.array(marks[owner]), pa.array(start), pa.array(n), pa.array(mark), pa.array(content)],
-                        ["key_id", "key_mark", "start", "n", "mark", "content"],
+                        [pa.array(ids[owner]), pa.array(marks[owner]), pa.array(start), pa.array(n), pa.array(mark), pa.array(content), pa.array(twice)],
+                        ["key_id", "key_mark", "start", "n", "mark", "content", "twice"],
                     )
                     lo, held = k + 1, 0
 
-    return docs.mapInArrow(run, f"{KEYS}, start long, n long, mark long, content long")
+    return docs.mapInArrow(run, f"{KEYS}, start long, n long, mark long, content long, twice boolean")
 
 
 def string_ranks(data: np.ndarray, size: int) -> np.ndarray:
@@ -198,8 +206,10 @@ def repeated_spans(docs: DataFrame, keep: str = "none", size: int = SIZE) -> Dat
     found = pin(_find(docs, size))
     again = (
         found.groupBy("mark")
-        .agg(F.count("*").alias("times"), (F.min("content") != F.max("content")).alias("mixed"))
-        .where("times > 1")
+        .agg(
+            F.count("*").alias("times"), ((F.min("content") != F.max("content")) | F.max("twice")).alias("mixed")
+        )
+        .where("times > 1 OR mixed")
         .drop("times")
     )
     common = pin(found.join(again, "mark"))
