@@ -140,11 +140,11 @@ def _count(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> tuple[D
     return parts[0].select("unit", F.col("keys"), F.col("counts").alias("tokens"), "lengths", "doc_ids"), parts[1].select("kind", "unit", "bucket", "keys", "counts"), folder
 
 
-def _values(spark, folder: str) -> set[str]:
+def _values(spark, folder: str, column: str = "asks") -> set[str]:
     """The values of the partition column that were written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return {f.getPath().getName().removeprefix("asks=") for f in found}
+    return {f.getPath().getName().removeprefix(f"{column}=") for f in found}
 
 
 def _sum_by(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from affinis.llm import (
     html_blocks,
     interpolated_lm,
+    jaccard_regions,
     line_dedup,
     packing,
     quality_rules,
@@ -71,3 +72,8 @@ def op7_harmonic_packing(spark, sf):
 @query
 def op8_line_windows(spark, sf):
     return line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"), report=True)
+
+
+@query
+def op9_jaccard_regions(spark, sf):
+    return jaccard_regions.link_documents(table(spark, sf, "documents"))
