@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from affinis.llm.common import row_key
+from affinis.llm.common import fresh, row_key
 from affinis.llm.components import components
 from affinis.llm.interpolated_lm import _bucket_edges, _gaps, _ungaps, _unzip, _values, _zip
 from affinis.llm.textscan import column_bytes, mix, word_hashes
@@ -366,3 +366,17 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return placed.join(least, "root", "left").select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with the smallest id of each component (of equal ids, one row); columns as they are."""
+    members, roots = similar_components(docs, id_col, text_col)
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key_mark")
+    placed = pin(placed.withColumn("place", order).select("key_id", "key_mark", "root", "place"))
+    first = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("place").alias("first"))
+    a, b = fresh("key_id", docs), fresh("key_mark", docs)
+    others = placed.join(first, "root").where("place <> first").select(F.col("key_id").alias(a), F.col("key_mark").alias(b)).distinct()
+    keys = row_key(F.col(id_col), F.col(text_col))
+    left = docs.withColumns({a: keys[0], b: keys[1]}).join(others, [a, b], "left_anti")
+    return left.dropDuplicates([a, b]).select(docs.columns)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from affinis.llm import (
+    cgk_decontam,
     html_blocks,
     interpolated_lm,
     jaccard_regions,
@@ -77,3 +79,13 @@ def op8_line_windows(spark, sf):
 @query
 def op9_jaccard_regions(spark, sf):
     return jaccard_regions.link_documents(table(spark, sf, "documents"))
+
+
+@query
+def op10_cgk_decontamination(spark, sf):
+    return cgk_decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
