@@ -29,7 +29,7 @@ from pyspark.taskcontext import TaskContext
 from affinis.llm.textscan import column_bytes, mix, word_hashes
 from affinis.session import drop_folder, pin, scratch_dir, unpin
 
-UNIT = 16 << 20
+UNIT = 6 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 PAIR = np.uint64(0xD6E8FEB86659FD93)
 PAIR_BITS = 40
