@@ -9,7 +9,8 @@ position), in which the previous smaller position of a string is its entry befor
 up to `size`, the earlier match, and with it all strings that start anywhere else too. With keep="first" only strings
 with an earlier match are covered, so the first copy stays; with keep="none" all copies go.
 
-A mark with more than BUCKET different regions is not gathered: its strings are hashed (128 bits) and counted by a grouping.
+A mark with more than BUCKET different regions is not gathered: tasks send the distinct hashes (128 bits) of its strings, as sorted
+arrays, to buckets of the hash space, which answer whether a string is repeated and where it is first.
 
 Defined cases: texts are UTF-8 bytes and null is empty; matches never cross documents; rows equal in id and text match each
 other; a text shorter than `size` keeps all its bytes; an empty table gives no rows; other columns are not read.
@@ -23,8 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
 from affinis.llm.common import row_key
+from affinis.llm.interpolated_lm import _bucket_edges, _gaps, _ungaps, _unzip, _zip
 from affinis.llm.textscan import BYTE_VALUES, column_bytes, mix, powers
 from affinis.session import pin, unpin
 
@@ -185,18 +188,98 @@ def _match(keep: str, size: int):
     return run
 
 
-def _strings(size: int):
-    """Each string of each region with its hash: KEYS, start, n, times, h1, h2."""
+def _hashed(contents: list[bytes], n: np.ndarray, size: int):
+    """Strings of concatenated contents in order of their two hashes, then position: h1, h2, order, first of each group."""
+    data = np.frombuffer(b"".join(contents), dtype=np.uint8)
+    lengths = n + size - 1
+    at = np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    h1, h2 = (_hash(_sums(data, salt), at, at + size) for salt in (np.uint64(0), SECOND))
+    order = np.lexsort((at, h2, h1))
+    h1, h2 = h1[order], h2[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    return h1, h2, order, np.flatnonzero(new)
+
+
+ASK = "unit long, bucket int, keys binary, second binary, counts binary, key_id binary, key_mark binary, start binary, n binary"
+
+
+def _ask(size: int, buckets: int):
+    """Regions of crowded marks, in units: a row with the regions (bucket -1), and their distinct strings by bucket of the hash.
+
+    A string that thousands of regions share is one entry a unit, with its number (up to 2) and its first place.
+    """
+
+    def unit(name, rows):
+        rows.sort(key=lambda r: (r["key_id"], r["key_mark"], r["start"]))
+        ids, marks, starts, n, times = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("key_id", "key_mark", "start", "n", "times"))
+        contents = [r["bytes"] for r in rows]
+        h1, h2, order, first = _hashed(contents, n, size)
+        total = np.minimum(np.add.reduceat(np.minimum(np.repeat(times, n), 2)[order], first), 2).astype(np.uint8)
+        region = np.repeat(np.arange(len(rows)), n)[order[first]]
+        inside = order[first] - (np.cumsum(n) - n)[region]
+        h1, h2, place = h1[first], h2[first], (ids[region], marks[region], starts[region] + inside)
+        out = [(name, -1, _zip(np.frombuffer(b"".join(contents), np.uint8)), None, None, *map(_zip, (ids, marks, starts, n)))]
+        cut = [0, *np.searchsorted(h1, _bucket_edges(buckets)), len(h1)]
+        for b in range(buckets):
+            if cut[b + 1] > cut[b]:
+                s = slice(cut[b], cut[b + 1])
+                out.append((name, b, _gaps(h1[s]), _zip(h2[s]), _zip(total[s]), *[_zip(x[s]) for x in place], None))
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 7)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [c.split()[0] for c in ASK.split(", ")])
 
     def run(batches):
+        part, number, rows, held = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             for r in batch.to_pylist():
-                data, at = np.frombuffer(r["bytes"], dtype=np.uint8), np.arange(r["n"])
-                h = [_hash(_sums(data, salt), at, at + size).view(np.int64) for salt in (np.uint64(0), SECOND)]
-                full = [np.full(r["n"], r[c], dtype=np.int64) for c in ("key_id", "key_mark", "times")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a) for a in (full[0], full[1], r["start"] + at, full[2], *h)], ["key_id", "key_mark", "start", "times", "h1", "h2"]
-                )
+                if held >= 2 * BLOCK:
+                    yield unit(part * (1 << 24) + number, rows)
+                    rows, held, number = [], 0, number + 1
+                rows.append(r)
+                held += len(r["bytes"])
+        if rows:
+            yield unit(part * (1 << 24) + number, rows)
+
+    return run
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """For each asked string: 0 if it is alone, 1 if repeated and first in the asking unit, 2 if repeated and first elsewhere."""
+    rows = table.to_pylist()
+    h1 = np.concatenate([_ungaps(r["keys"]) for r in rows])
+    h2 = np.concatenate([_unzip(r["second"], np.uint64) for r in rows])
+    times = np.concatenate([_unzip(r["counts"], np.uint8) for r in rows]).astype(np.int64)
+    place = [np.concatenate([_unzip(r[c], np.int64) for r in rows]) for c in ("start", "key_mark", "key_id")]
+    order = np.lexsort((*place, h2, h1))
+    x, y = h1[order], h2[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    first = np.flatnonzero(new)
+    again = np.repeat(np.add.reduceat(times[order], first) > 1, np.diff(first, append=len(order)))
+    code = np.empty(len(order), dtype=np.uint8)
+    code[order] = np.where(again, np.where(new, 1, 2), 0)
+    ends = np.cumsum([len(_unzip(r["counts"], np.uint8)) for r in rows])
+    out = [(r["unit"], r["bucket"], _zip(c)) for r, c in zip(rows, np.split(code, ends[:-1]))]
+    kinds = (pa.int64(), pa.int32(), pa.binary())
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["unit", "bucket", "codes"])
+
+
+def _cover(keep: str, size: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        unit = left.to_pylist()[0]
+        ids, marks, starts, n = (_unzip(unit[c], np.int64) for c in ("key_id", "key_mark", "start", "n"))
+        _, _, order, first = _hashed([_unzip(unit["keys"], np.uint8).tobytes()], n, size)
+        codes = np.concatenate([_unzip(r["codes"], np.uint8) for r in sorted(right.to_pylist(), key=lambda r: r["bucket"])])
+        flags = np.zeros(len(order), dtype=bool)
+        flags[order] = np.repeat(codes > 0, np.diff(first, append=len(order)))
+        if keep == "first":
+            flags[order[first[codes == 1]]] = False
+        out, lo = [], 0
+        for k in range(len(n)):
+            for start, count in zip(*_runs(flags[lo : lo + n[k]])):
+                out.append((ids[k], marks[k], starts[k] + start, count))
+            lo += n[k]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 4)], ["key_id", "key_mark", "start", "n"])
 
     return run
 
@@ -247,16 +330,15 @@ def repeated_spans(docs: DataFrame, keep: str = "none", size: int = SIZE) -> Dat
     cutting = pin(cutting)
     few = cutting.where(F.col("many") <= BUCKET).repartition("mark").sortWithinPartitions("mark")
     in_few = few.mapInArrow(_match(keep, size), f"{KEYS}, start long, n long")
-    strings = cutting.where(F.col("many") > BUCKET).mapInArrow(
-        _strings(size), f"{KEYS}, start long, times long, h1 long, h2 long"
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asks = pin(cutting.where(F.col("many") > BUCKET).mapInArrow(_ask(size, buckets), ASK))
+    answers = asks.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer, "unit long, bucket int, codes binary")
+    in_many = (
+        asks.where("bucket < 0")
+        .groupBy("unit")
+        .cogroup(answers.groupBy("unit"))
+        .applyInArrow(_cover(keep, size), f"{KEYS}, start long, n long")
     )
-    firsts = strings.groupBy("h1", "h2").agg(
-        F.count("*").alias("c"), F.max("times").alias("t"), F.min(place).alias("first")
-    ).where("c > 1 OR t > 1").select("h1", "h2", F.col("first").alias("first_place"))
-    in_many = strings.join(firsts, ["h1", "h2"])
-    if keep == "first":
-        in_many = in_many.where(place != F.col("first_place"))
-    in_many = in_many.select("key_id", "key_mark", "start", F.lit(1).cast("long").alias("n"))
     return whole.unionByName(in_few).unionByName(in_many)
 
 
