@@ -15,8 +15,8 @@ block holds the documents that share one. Inside the blocks the metric method ru
    verified on the whole sets.
 
 No pair is lost: one within EPS shares a block, and stays in it until both are in one component or the pair itself was tested.
-Copies with equal sets are one node. Where frequent shingles stand in the order is taken from a list of bounded size; it changes the work,
-never the result.
+Copies with equal sets are one node. Which shingles count as rare is told by lists of bounded size (repeated shingles, and used words:
+a shingle of common words is likely to be met by chance); any order gives the same result, a good one less work.
 
 Defined cases: a document without words has no set and is alone; fewer than five words are one shingle; a null id is never the
 smallest; rows with one id but different texts are different sets; an empty table gives no rows.
@@ -39,15 +39,26 @@ from affinis.llm.textscan import column_bytes, mix, word_hashes
 from affinis.session import drop_folder, pin, scratch_dir, unpin
 
 WORDS, PERCENT = 5, 80
-UNIT, CELL, FREQUENT = 16 << 20, 192, 1 << 18
+UNIT, CELL, FREQUENT = 16 << 20, 192, 1 << 17
 SIGNATURE = 8  # longs
 STEP = np.uint64(0x9FB21C651E98DF25)
 NODE = "node binary, n long"
 
 
-def shingle_sets(texts: list[bytes], width: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+def _listed(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted key in a sorted list, 0 where it is not listed."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
+
+def shingle_sets(texts: list[bytes], words: tuple | None = None, width: int = WORDS) -> list:
+    """The sorted distinct shingle hashes of each text; with a list of word weights, (hashes, summed weights)."""
     hashes, counts = word_hashes(texts)
+    if words:
+        sums = np.concatenate([[0], np.cumsum(_listed(*words, hashes))])
+        weights = sums[width:] - sums[:-width] if len(hashes) >= width else np.zeros(0, dtype=np.int64)
     ends = np.cumsum(counts)
     rolled = np.zeros(max(0, len(hashes) - width + 1), dtype=np.uint64)
     for k in range(width):
@@ -55,7 +66,12 @@ def shingle_sets(texts: list[bytes], width: int = WORDS) -> list[np.ndarray]:
     rolled, out = mix(rolled), []
     for begin, end in zip((ends - counts).tolist(), ends.tolist()):
         if end - begin >= width:
-            out.append(np.unique(rolled[begin : end - width + 1]))
+            own = slice(begin, end - width + 1)
+            if words:
+                found, first = np.unique(rolled[own], return_index=True)
+                out.append((found, weights[own][first]))
+            else:
+                out.append(np.unique(rolled[own]))
         elif end > begin:
             whole = np.uint64(end - begin)
             for h in hashes[begin:end]:
@@ -63,6 +79,8 @@ def shingle_sets(texts: list[bytes], width: int = WORDS) -> list[np.ndarray]:
             out.append(np.array([whole], dtype=np.uint64))
         else:
             out.append(np.empty(0, np.uint64))
+        if words and not isinstance(out[-1], tuple):
+            out[-1] = (out[-1], np.zeros(len(out[-1]), dtype=np.int64))
     return out
 
 
@@ -91,30 +109,40 @@ def _batches(batches, text_at: int, limit: int = 4 << 20):
                 lo, held = k + 1, 0
 
 
-def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The FREQUENT most repeated shingles and counts, from those that occur twice in one stretch of a task."""
+def frequent(docs: DataFrame) -> tuple[tuple, tuple]:
+    """The most repeated shingles with their counts, and the most used words with a weight (about 8 log2 of the count).
+
+    Both are counted from what occurs twice in one stretch of a task, over all documents, and hold FREQUENT entries at most.
+    """
 
     def run(batches):
         for _, texts, _ in _batches(batches, 0):
-            keys, n = np.unique(np.concatenate(shingle_sets(texts)), return_counts=True)
-            many = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(keys[many].view(np.int64)), pa.array(n[many])], ["shingle", "n"])
+            for kind, found in ((0, np.concatenate(shingle_sets(texts))), (1, word_hashes(texts)[0])):
+                keys, n = np.unique(found, return_counts=True)
+                many = n > 1 + kind
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(many.sum(), kind, np.int32)), pa.array(keys[many].view(np.int64)), pa.array(n[many])], ["kind", "key", "n"]
+                )
 
-    counts = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counts.where("n > 3").orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
-    keys = top["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], top["n"].to_numpy(np.int64)[order]
+    counts = docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counts, out = pin(counts.where("n > 3")), []
+    for kind in (0, 1):
+        top = counts.where(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
+        keys, n = top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+        order = np.argsort(keys)
+        out.append((keys[order], n[order] if kind == 0 else np.round(8 * np.log2(n[order])).astype(np.int64)))
+    unpin(counts)
+    return tuple(out)
 
 
 def _prefixes(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame, str]:
     """Documents (keys, doc_id, node, n), units with their prefixes, and what they ask the buckets."""
     spark = docs.sparkSession
-    listed = spark.sparkContext.broadcast(frequent_shingles(docs))  # bounded by FREQUENT
+    listed = spark.sparkContext.broadcast(frequent(docs))  # bounded by FREQUENT
 
     def run(batches):
         part, number, edges = TaskContext.get().partitionId(), 0, _bucket_edges(buckets)
-        known, often = listed.value
+        often, words = listed.value
         rows, pre, size = [], [], 0
 
         def unit():
@@ -139,15 +167,11 @@ def _prefixes(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, Data
 
         for lo, texts, batch in _batches(batches, 3):
             ids = [batch.column(c).slice(lo, len(texts)).to_pylist() for c in range(3)]
-            for k, s in enumerate(shingle_sets(texts)):
+            for k, (s, weight) in enumerate(shingle_sets(texts, words)):
                 if rows and size + len(texts[k]) > UNIT:
                     yield from unit()
                     rows, pre, size, number = [], [], 0, number + 1
-                where = np.searchsorted(known, s)
-                hit = where < len(known)
-                rank = np.zeros(len(s), dtype=np.int64)
-                rank[hit] = np.where(known[where[hit]] == s[hit], often[where[hit]], 0)
-                rare = s[np.lexsort((s, rank))[: prefix_length(len(s))]] if len(s) else s
+                rare = s[np.lexsort((s, weight, _listed(*often, s)))[: prefix_length(len(s))]] if len(s) else s
                 rows.append((len(rows), *[c[k] for c in ids], node_of(s) if len(s) else None, len(s)))
                 pre.append(rare)
                 size += len(texts[k])
