@@ -16,12 +16,11 @@ from affinis.operators.split import temporal_holdout_split
 from affinis.operators.svd import GRAM_LIMIT, SvdModel, explained_variance, truncated_svd
 from affinis.session import pin
 
-# Content features in their order, and the size of the consistency sample.
+# Content features in their order, and the number of neighbours compared.
 CONTENT_FEATURES = [
     "price_normalized", "category_encoded", "popularity_score", "avg_rating_received",
     "total_interactions",
 ]
-CONSISTENCY_ITEMS = 20
 CONSISTENCY_NEIGHBOURS = 5
 
 
@@ -124,11 +123,14 @@ def item_similarity_top_n(
 def category_consistency(
     items: DataFrame,
     features: Sequence[str] = tuple(CONTENT_FEATURES),
-    sample: int = CONSISTENCY_ITEMS,
     neighbours: int = CONSISTENCY_NEIGHBOURS,
+    sample: int | None = None,
 ) -> DataFrame:
-    """One row: mean share of nearest items in the same category, over the first items by id."""
-    first = items.select("item_id").orderBy("item_id").limit(sample)
+    """One row: mean share of nearest items in the same category, over all items.
+
+    `sample` looks at the first items by id only.
+    """
+    first = items.select("item_id").orderBy("item_id").limit(sample) if sample else None
     near = item_similarity_top_n(items, features, neighbours, only=first)
     mine = items.select("item_id", F.col("category").alias("_mine"))
     theirs = items.select(F.col("item_id").alias("similar_id"), F.col("category").alias("_theirs"))

@@ -2,7 +2,10 @@
 
 Up to `gram_limit` items the item Gramian is small by construction and its eigenvectors are exact.
 Beyond that, block power iteration with a few more columns than asked for keeps every factor table
-distributed; only matrices of that column count squared reach the driver.
+distributed; only matrices of that column count squared reach the driver. It goes on until no wanted
+singular value moves by more than `tolerance` (relative), so both ways agree to about that much.
+
+Cells of a repeated (user, item) pair add up in both; `latest_by` keeps the last rating instead.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from affinis.session import pin
 
 GRAM_LIMIT = 2_048  # items; a Gramian of at most 32 MiB
 OVERSAMPLE = 10
-ITERATIONS = 8
+TOLERANCE = 1e-9
+MAX_ITERATIONS = 300
 
 
 @dataclass
@@ -87,8 +91,10 @@ def _sparse_gramian(cells: DataFrame, items: DataFrame, size: int) -> np.ndarray
                 dense = np.zeros((len(part), size))
                 lengths = [len(v) for v in part["idx"]]
                 at = np.repeat(np.arange(len(part)), lengths)
-                dense[at, np.concatenate(part["idx"].to_numpy())] = np.concatenate(
-                    part["rating"].to_numpy()
+                np.add.at(
+                    dense,
+                    (at, np.concatenate(part["idx"].to_numpy())),
+                    np.concatenate(part["rating"].to_numpy()),
                 )
                 total += dense.T @ dense
         yield _as_rows(total)
@@ -139,23 +145,28 @@ def truncated_svd(
     ratings: DataFrame,
     n_components: int = 50,
     gram_limit: int = GRAM_LIMIT,
-    iterations: int = ITERATIONS,
+    tolerance: float = TOLERANCE,
     seed: int = 42,
     latest_by: str | None = None,
 ) -> SvdModel:
     """Rank-k factors of the zero-filled rating matrix.
 
-    The table is read several times: give a written one. Each (user, item) must occur once, as after
-    cleaning; `latest_by` names a time column by which the last rating of a pair is kept first.
+    The table is read several times: give a written one. `latest_by` names a time column by which the last
+    rating of a pair is kept first; without it repeated pairs add up. No cells give empty factors.
     """
     if latest_by:
         ratings = pin(dedup_keep_latest(ratings, time=latest_by, tiebreak=["rating"]))
     cells = _cells(ratings)
     items = cells.select("item_id").distinct()
     n_items = items.count()
+    if n_items == 0:
+        empty = cells.sparkSession.createDataFrame
+        return SvdModel(
+            empty([], "user_id BIGINT, vector ARRAY<DOUBLE>"), empty([], "item_id BIGINT, vector ARRAY<DOUBLE>"), np.zeros(0)
+        )
     if n_items <= gram_limit:
         return _exact(cells, items, n_items, n_components)
-    return _iterated(cells, items, min(n_items, n_components + OVERSAMPLE), n_components, iterations, seed)
+    return _iterated(cells, items, min(n_items, n_components + OVERSAMPLE), n_components, tolerance, seed)
 
 
 def _exact(cells: DataFrame, items: DataFrame, n_items: int, k: int) -> SvdModel:
@@ -166,12 +177,12 @@ def _exact(cells: DataFrame, items: DataFrame, n_items: int, k: int) -> SvdModel
     ids = [r["item_id"] for r in indexed.orderBy("idx").collect()]  # at most gram_limit ids
     factors = [(int(i), [float(x) for x in row]) for i, row in zip(ids, basis[:, :k])]
     item_factors = spark.createDataFrame(factors, "item_id BIGINT, vector ARRAY<DOUBLE>")
-    user_factors = _weighted_sums(cells, item_factors, "item_id", "user_id", k)
+    user_factors = pin(_weighted_sums(cells, item_factors, "item_id", "user_id", k))
     return SvdModel(user_factors, item_factors, np.sqrt(values[:k]))
 
 
 def _iterated(
-    cells: DataFrame, items: DataFrame, width: int, k: int, iterations: int, seed: int
+    cells: DataFrame, items: DataFrame, width: int, k: int, tolerance: float, seed: int
 ) -> SvdModel:
     # Start vectors depend on the item alone, so a repeated task draws the same ones.
     draws = [
@@ -179,18 +190,25 @@ def _iterated(
         for j in range(width)
     ]
     of_items = items.select("item_id", F.array(*draws).alias("vector"))
-    for _ in range(iterations):
+    before = np.zeros(min(k, width))
+    for _ in range(MAX_ITERATIONS):
         of_users = pin(_weighted_sums(cells, of_items, "item_id", "user_id", width))
         of_users = _orthonormal(of_users, "user_id", width)
         of_items = pin(_weighted_sums(cells, of_users, "user_id", "item_id", width))
         last = of_items
+        values = np.sqrt(_descending(_dense_gramian(last, width))[0][: len(before)])
+        if np.all(np.abs(values - before) <= tolerance * values[0]):
+            break
+        before = values
         of_items = _orthonormal(of_items, "item_id", width)
+    else:
+        raise RuntimeError(f"singular values still moved by more than {tolerance} after {MAX_ITERATIONS} iterations")
     # last = A^T Q, so its right factors turn it into V S and its Gramian gives S squared.
     values, turn = _descending(_dense_gramian(last, width))
     values, turn = values[:k], turn[:, :k]
     scale = np.where(values > values[0] * 1e-13, 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
     item_factors = pin(_times(last, "item_id", turn * scale))
-    user_factors = _weighted_sums(cells, item_factors, "item_id", "user_id", len(values))
+    user_factors = pin(_weighted_sums(cells, item_factors, "item_id", "user_id", len(values)))
     return SvdModel(user_factors, item_factors, np.sqrt(values))
 
 
@@ -199,6 +217,8 @@ def explained_variance(ratings: DataFrame, model: SvdModel) -> DataFrame:
     cells = _cells(ratings)
     users = cells.agg(F.count_distinct("user_id")).scalar().cast("double")
     width = len(model.singular_values)
+    if not width:
+        return cells.agg(F.lit(None).cast("double").alias("explained_variance"))
     spread = model.user_factors.agg(
         *[F.var_pop(F.col("vector")[j]).alias(f"v{j}") for j in range(width)]
     ).select(sum((F.col(f"v{j}") for j in range(1, width)), F.col("v0")).alias("v"))

@@ -140,27 +140,6 @@ def _choice(draw: str, values: list[str]) -> str:
     return f"([{listed}])[CAST(floor({draw} * {len(values)}) AS BIGINT) + 1]"
 
 
-ORACLES["generate_interactions"] = f"""
-    WITH drawn AS (SELECT event_id AS r, md5('42:' || CAST(event_id AS VARCHAR)) AS d FROM events)
-    SELECT CAST(floor({_u('d', 0)} * 200) + 1 AS BIGINT) AS user_id,
-           CAST(floor({_u('d', 1)} * 500) + 1 AS BIGINT) AS item_id,
-           round({_u('d', 2)} * 4 + 1, 1) AS rating,
-           strftime(TIMESTAMP '2024-01-01 00:00:00' + r * INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S')
-           AS timestamp,
-           CASE WHEN {_u('d', 3)} < 0.25 THEN 'purchase' WHEN {_u('d', 3)} < 0.75 THEN 'view'
-                WHEN {_u('d', 3)} < 0.9 THEN 'wishlist' ELSE 'cart' END AS event_type
-    FROM drawn"""
-ORACLES["generate_products"] = f"""
-    WITH drawn AS (SELECT p_partkey AS r, md5('0:' || CAST(p_partkey AS VARCHAR)) AS d,
-                          md5('0:b' || CAST(p_partkey AS VARCHAR)) AS e FROM part)
-    SELECT r + 1 AS item_id, 'Product_' || CAST(r + 1 AS VARCHAR) AS title,
-           {_choice(_u('d', 0), ['electronics', 'clothing', 'home', 'books', 'sports', 'beauty'])} AS category,
-           {_choice(_u('d', 1), ['BrandA', 'BrandB', 'BrandC', 'BrandD', 'BrandE'])} AS brand,
-           round({_u('d', 2)} * 994 + 5, 2) AS price,
-           round({_u('d', 3)} * 4 + 1, 1) AS rating,
-           CAST(floor({_u('e', 0)} * 4995) + 5 AS INTEGER) AS rating_count,
-           {_u('e', 1)} < 0.85 AS in_stock
-    FROM drawn"""
 _add(
     "require_columns",
     "ix_raw",
@@ -182,13 +161,22 @@ _add(
     """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_count
        FROM (SELECT count(*) AS n FROM ix_orders GROUP BY user_id, item_id, timestamp)""",
 )
+def _checksum(view: str, *columns: str) -> str:
+    parts = " || ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns)
+    return f"""SELECT count(*) AS rows, CAST(sum(h) AS BIGINT) AS hash_sum, bit_xor(h) AS hash_xor FROM (
+         SELECT CAST(CAST('0x' || substr(md5({parts}), 1, 8) AS UBIGINT) AS BIGINT) AS h
+         FROM (SELECT * REPLACE ({_TIME}) FROM {view}))"""
+
+
 _add(
-    "table_checksum_md5",
+    "table_checksum",
     "ix_orders",
-    """SELECT count(*) AS rows, CAST(sum(h) AS BIGINT) AS hash_sum, bit_xor(h) AS hash_xor FROM (
-         SELECT CAST(CAST('0x' || substr(md5(concat_ws('|', CAST(user_id AS VARCHAR),
-                CAST(item_id AS VARCHAR), event_type, CAST(ord AS VARCHAR), CAST(line AS VARCHAR))), 1, 8)
-                AS UBIGINT) AS BIGINT) AS h FROM ix_orders)""",
+    _checksum("ix_orders", "user_id", "item_id", "rating", "timestamp", "event_type", "ord", "line"),
+)
+_add(
+    "table_checksum_md5",
+    "ix_events",
+    _checksum("ix_events", "user_id", "item_id", "rating", "timestamp", "event_type", "seq"),
 )
 
 # -- cleaning ---------------------------------------------------------------------------
@@ -256,6 +244,15 @@ _add(
        FROM products""",
 )
 _add("encode_products", "products_encoded", "SELECT * FROM products_encoded")
+_add(
+    "transform_products",
+    "products_clean",
+    """SELECT item_id, code AS category_encoded, round((price - low) / (high - low), 9) AS price_normalized
+       FROM products_clean p
+       LEFT JOIN (SELECT category, dense_rank() OVER (ORDER BY category) - 1 AS code
+                  FROM (SELECT DISTINCT category FROM products_clean WHERE item_id % 2 = 0)) c USING (category),
+       (SELECT min(price) AS low, max(price) AS high FROM products_clean WHERE item_id % 2 = 0) b""",
+)
 
 # -- features ------------------------------------------------------------------------------
 _add(
@@ -357,7 +354,7 @@ _EVALUATION = [
     "test AS (SELECT * FROM parts WHERE is_test)",
     """pool AS (
         SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS place
-        FROM train GROUP BY item_id QUALIFY place <= 50)""",
+        FROM train GROUP BY item_id)""",
     """recs AS (
         SELECT u.user_id, p.item_id,
                row_number() OVER (PARTITION BY u.user_id ORDER BY p.place) AS rank
@@ -535,7 +532,7 @@ _CONSISTENCY = """SELECT round_even(coalesce(avg(share), 0), 4) AS category_cons
        count(*) AS items_checked {extra} FROM (
          SELECT n.item_id, avg(CASE WHEN m.category = s.category THEN 1.0 ELSE 0.0 END) AS share
          FROM near n JOIN item_feats m ON n.item_id = m.item_id JOIN item_feats s ON n.similar_id = s.item_id
-         WHERE n.rank <= 5 AND n.item_id IN (SELECT item_id FROM item_feats ORDER BY item_id LIMIT 20)
+         WHERE n.rank <= 5
          GROUP BY n.item_id)"""
 _add("category_consistency", "ix_orders products_encoded", _CONSISTENCY.format(extra=""), *_SIMILAR)
 _add(
@@ -675,6 +672,30 @@ _add(
     "ix_clean",
     f"SELECT user_id, activity_score, avg_rating_given FROM ({_USER_FEATURES.format(source='ix_clean')})",
 )
+_add(
+    "fs_read_version",
+    "ix_events",
+    """SELECT user_id, count(item_id) AS total_interactions, count(DISTINCT item_id) AS unique_items
+       FROM ix_events GROUP BY user_id""",
+)
+_add(
+    "fs_get_version",
+    "ix_events",
+    """SELECT 'user_features' AS name, 'v1' AS version, 'raw' AS description, count(DISTINCT user_id) AS rows,
+              CAST(12 AS BIGINT) AS cols FROM ix_events""",
+)
+_add(
+    "fs_list_groups",
+    "ix_clean ix_orders",
+    """SELECT 'user_features' AS name WHERE EXISTS (SELECT 1 FROM ix_clean)
+       UNION ALL SELECT 'item_activity' WHERE EXISTS (SELECT 1 FROM ix_orders)""",
+)
+_add(
+    "fs_lookup_ids",
+    "ix_clean",
+    f"""SELECT * FROM ({_USER_FEATURES.format(source='ix_clean')})
+        WHERE user_id = (SELECT min(user_id) FROM events) OR user_id = (SELECT max(user_id) FROM events)""",
+)
 _add(
     "fs_online_lookup",
     "ix_clean",

@@ -38,11 +38,11 @@ from affinis.plans.views import (
 )
 from affinis.schemas import INTERACTIONS_RAW
 from affinis.session import pin, scratch_dir
-from affinis.sources import checks, generate, readers, runs, writers
+from affinis.sources import checks, readers, runs, writers
 from affinis.sources.feature_store import FEATURE_DEFS, GROUP_ENTITIES, FeatureStore, infer_feature_defs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-POOL, TOP_K, COMPONENTS = 50, 10, 50
+TOP_K, COMPONENTS = 10, 50
 STRICT_TIME = {"rule": "strftime_format", "column": "timestamp", "format": "%Y-%m-%d %H:%M:%S"}
 
 
@@ -145,18 +145,6 @@ def read_feature_table(spark, sf):
     return readers.read_feature_table(spark, root, "user_features")
 
 
-@query
-def generate_interactions(spark, sf):
-    rows = table(spark, sf, "events").select(F.col("event_id").alias("row"))
-    return generate.generate_interactions(rows)
-
-
-@query
-def generate_products(spark, sf):
-    rows = table(spark, sf, "part").select(F.col("p_partkey").alias("row"))
-    return generate.generate_products(rows)
-
-
 @query
 def require_columns(spark, sf):
     return checks.require_columns(ix_raw(spark, sf), ["user_id", "item_id", "rating", "timestamp", "channel"])
@@ -174,13 +162,18 @@ def duplicate_key_count(spark, sf):
 
 @query
 def table_checksum(spark, sf):
-    return checks.table_checksum(ix_orders(spark, sf))
+    return checks.table_checksum(_text_time(ix_orders(spark, sf)), "md5")
 
 
 @query
 def table_checksum_md5(spark, sf):
-    keys = ix_orders(spark, sf).select("user_id", "item_id", "event_type", "ord", "line")
-    return checks.table_checksum(keys, "md5")
+    """The same form over a table with nulls."""
+    return checks.table_checksum(_text_time(ix_events(spark, sf)), "md5")
+
+
+@query
+def table_checksum_hash64(spark, sf):
+    return checks.table_checksum(ix_orders(spark, sf))
 
 
 # -- cleaning ------------------------------------------------------------------------------
@@ -273,6 +266,15 @@ def encode_products(spark, sf):
     return products_encoded(spark, sf)
 
 
+@query
+def transform_products(spark, sf):
+    """Encoders fitted to items with even ids, applied to the whole catalog."""
+    catalog = pin(prepare.clean_products(products(spark, sf)))
+    _, encoders = encode.encode_products(pin(catalog.filter("item_id % 2 = 0")))
+    found = encode.transform_products(catalog, encoders)
+    return found.select("item_id", "category_encoded", F.round("price_normalized", 9).alias("price_normalized"))
+
+
 # -- features --------------------------------------------------------------------------------
 
 
@@ -384,10 +386,14 @@ def _split_events(spark, sf) -> DataFrame:
 
 
 def _popular_unseen(train: DataFrame, users: DataFrame) -> DataFrame:
-    """Recommendations any engine can repeat: the POOL most used items the user has not rated."""
-    pool = eda.top_items(train, POOL).agg(
+    """Recommendations any engine can repeat: the most used items the user has not rated.
+
+    A list cannot run out within TOP_K places more than any user has rated, so that many items are ranked.
+    """
+    rated = train.groupBy("user_id").agg(F.count_distinct("item_id").alias("n")).agg(F.max("n")).first()[0] or 0
+    pool = eda.top_items(train, TOP_K + rated).agg(
         F.sort_array(F.collect_list(F.struct((-F.col("interactions")).alias("n"), "item_id"))).alias("pool")
-    )  # POOL entries
+    )
     offered = users.select("user_id", F.posexplode(pool.scalar()).alias("place", "item")).select(
         "user_id", F.col("item.item_id").alias("item_id"), "place"
     )
@@ -673,6 +679,29 @@ def fs_read(spark, sf):
     return _store(spark, sf).read("user_features", columns=["user_id", "activity_score", "avg_rating_given"])
 
 
+@query
+def fs_read_version(spark, sf):
+    """An older version by its name."""
+    return _store(spark, sf).read("user_features", "v1", ["user_id", "total_interactions", "unique_items"])
+
+
+@query
+def fs_get_version(spark, sf):
+    return _store(spark, sf).get_version("user_features", "v1").select("name", "version", "description", "rows", "cols")
+
+
+@query
+def fs_list_groups(spark, sf):
+    return _store(spark, sf).list_groups()
+
+
+@query
+def fs_lookup_ids(spark, sf):
+    """Lookup by a list of ids, one of them unknown: the lowest and the highest user."""
+    bounds = table(spark, sf, "events").agg(F.min("user_id"), F.max("user_id")).first()
+    return _store(spark, sf).online_lookup("user_features", [*bounds, -1], "user_id")
+
+
 @query
 def fs_online_lookup(spark, sf):
     ids = table(spark, sf, "events").filter("event_type = 'error'").select("user_id").distinct()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +31,22 @@ def get_session(app: str = "affinis", master: str | None = None, **conf: str) ->
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, wherever the driver was started."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="affinis-package-"), "affinis.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -56,8 +56,12 @@ def duplicate_key_count(
 
 
 def row_hash_columns(df: DataFrame):
-    """Aggregates that identify a table's content whatever the order of its rows."""
-    row = F.xxhash64(*df.columns)
+    """Aggregates that identify a table's content whatever the order of its rows.
+
+    The hash skips nulls, so which columns are null is hashed with the values.
+    """
+    nulls = F.concat(*[F.when(F.col(c).isNull(), F.lit("0")).otherwise(F.lit("1")) for c in df.columns])
+    row = F.xxhash64(nulls, *df.columns)
     return [
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.bit_xor(row), F.lit(0)).alias("hash_xor"),
@@ -70,14 +74,16 @@ def row_hash_columns(df: DataFrame):
 def table_checksum(df: DataFrame, method: str = "xxhash64") -> DataFrame:
     """One row: row count and an order-insensitive digest (row order has no meaning here).
 
-    `md5` hashes a text form of each row, for comparison with other engines.
+    `md5` hashes a text form of each row, for comparison with other engines: each value with its length in
+    front, a null as `-`, so no two rows share a text.
     """
     if method == "xxhash64":
         return df.agg(*row_hash_columns(df)).select(
             "rows",
             F.md5(F.concat_ws(":", "rows", "hash_xor", "hash_high", "hash_low")).alias("checksum"),
         )
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
+    values = [F.col(c).cast("string") for c in df.columns]
+    text = F.concat(*[F.coalesce(F.concat(F.length(v), F.lit(":"), v), F.lit("-")) for v in values])
     prefix = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     return df.select(prefix.alias("h")).agg(
         F.count(F.lit(1)).alias("rows"),

@@ -90,15 +90,18 @@ def scan_products_json(spark: SparkSession, path: str, arrays: bool = False) ->
 def scan_latest_snapshot(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
-    """The newest `ingest_ts` partition of a snapshot table; older ones are pruned."""
+    """The newest `ingest_ts` partition of a snapshot table, found by folder names; only its files are listed and read."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(T.StructType([*schema.fields, T.StructField("ingest_ts", T.StringType())]))
     if fmt == "csv":
         reader = reader.option("header", True)
-    table = reader.load(path)
-    newest = table.agg(F.max("ingest_ts")).scalar()
-    return table.filter(F.col("ingest_ts") == newest)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in listed if f.isDirectory() and f.getPath().getName().startswith("ingest_ts=")]
+    if not names:
+        raise FileNotFoundError(f"no snapshot below {path}")
+    return reader.option("basePath", path).load(f"{path}/{max(names)}")
 
 
 def read_feature_table(spark: SparkSession, root: str, name: str) -> DataFrame:

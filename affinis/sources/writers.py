@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.schemas import FEATURE_TABLES
+from affinis.session import drop_folder
 
 
 def snapshot_name() -> str:
@@ -47,7 +49,8 @@ def write_feature_tables(
 ) -> None:
     """Replace feature tables, cast to their declared schema; duplicate keys are an error.
 
-    Each table is computed once and replaced whole; the check reads only the written key columns.
+    Each table is computed once, written beside the old one and checked there (key columns only); it replaces the old
+    one when the check has passed, so a failure leaves the old table.
     """
     for name, df in tables.items():
         schema, keys = FEATURE_TABLES[name]
@@ -56,7 +59,13 @@ def write_feature_tables(
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema
         ]
-        path = f"{root}/{name}"
-        df.select(*declared).write.mode("overwrite").parquet(path)
-        if check_keys and not duplicated_keys(df.sparkSession.read.parquet(path), keys).isEmpty():
+        spark, path, staged = df.sparkSession, f"{root}/{name}", f"{root}/_staged-{name}-{uuid.uuid4().hex}"
+        df.select(*declared).write.parquet(staged)
+        if check_keys and not duplicated_keys(spark.read.parquet(staged), keys).isEmpty():
+            drop_folder(spark, staged)
             raise ValueError(f"{name}: {keys} is not unique")
+        drop_folder(spark, path)
+        paths = spark._jvm.org.apache.hadoop.fs
+        source = paths.Path(staged)
+        if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, paths.Path(path)):
+            raise OSError(f"{staged} could not be moved to {path}")

@@ -59,17 +59,17 @@ def test_iterated_factors_beyond_the_gramian_limit(spark):
     low = rng.normal(size=(80, 4)) @ np.diag([9.0, 6.0, 4.0, 2.0]) @ rng.normal(size=(4, 40))
     matrix = low + 0.001 * rng.normal(size=low.shape)
     ratings = ratings_of(spark, matrix)
-    model = svd.truncated_svd(ratings, 4, gram_limit=10, iterations=4)
+    model = svd.truncated_svd(ratings, 4, gram_limit=10)
     u, s, vt = np.linalg.svd(matrix, full_matrices=False)
     assert np.allclose(model.singular_values, s[:4], rtol=1e-6)
     assert np.allclose(product(model, 80, 40), (u[:, :4] * s[:4]) @ vt[:4], atol=1e-4)
-    again = svd.truncated_svd(ratings.repartition(3), 4, gram_limit=10, iterations=4)
+    again = svd.truncated_svd(ratings.repartition(3), 4, gram_limit=10)
     assert np.allclose(again.singular_values, model.singular_values)
 
 
 def test_iterated_factors_of_a_matrix_of_lower_rank(spark):
     matrix = np.outer(np.arange(1.0, 21), np.arange(1.0, 16))
-    model = svd.truncated_svd(ratings_of(spark, matrix), 3, gram_limit=2, iterations=2)
+    model = svd.truncated_svd(ratings_of(spark, matrix), 3, gram_limit=2)
     assert np.allclose(product(model, 20, 15), matrix, atol=1e-5)
 
 
@@ -168,3 +168,30 @@ def test_training_metrics(spark):
     assert done.recommendations.filter("user_id = 99").isEmpty()
     hot = recommend.train_svd(df, 5, 10, ["timestamp", "seq"], hot_rows=10).metrics.first().asDict()
     assert hot == metrics
+
+
+def test_both_ways_give_one_result(spark):
+    rng = np.random.default_rng(8)
+    matrix = rng.integers(0, 6, (30, 14)) * (rng.random((30, 14)) < 0.6)
+    ratings = ratings_of(spark, matrix)
+    exact, iterated = svd.truncated_svd(ratings, 4), svd.truncated_svd(ratings, 4, gram_limit=3)
+    assert np.allclose(exact.singular_values, iterated.singular_values, rtol=1e-8)
+
+    def scores(model):
+        users = {r.user_id: np.array(r.vector) for r in model.user_factors.collect()}
+        items = {r.item_id: np.array(r.vector) for r in model.item_factors.collect()}
+        return np.array([[users[u] @ items[i] for i in sorted(items)] for u in sorted(users)])
+
+    assert np.allclose(scores(exact), scores(iterated), atol=1e-3)
+
+
+def test_repeated_pairs_add_up_and_no_cells_give_no_factors(spark):
+    schema = "user_id long, item_id long, rating double"
+    twice = spark.createDataFrame([(1, 1, 5.0), (1, 1, 2.0), (2, 2, 3.0)], schema)
+    for limit in (10, 1):
+        model = svd.truncated_svd(twice, 2, gram_limit=limit)
+        assert np.allclose(model.singular_values, [7, 3])
+        assert {r.user_id: round(max(map(abs, r.vector)), 6) for r in model.user_factors.collect()} == {1: 7.0, 2: 3.0}
+    empty = svd.truncated_svd(twice.limit(0), 2)
+    assert empty.user_factors.collect() == [] and len(empty.singular_values) == 0
+    assert svd.explained_variance(twice.limit(0), empty).collect() == [(None,)]
