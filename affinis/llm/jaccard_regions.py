@@ -75,7 +75,7 @@ def shingle_sets(texts: list[bytes], words: tuple | None = None, width: int = WO
         elif end > begin:
             whole = np.uint64(end - begin)
             for h in hashes[begin:end]:
-                whole = mix(np.array([whole * STEP + h], dtype=np.uint64))[0]
+                whole = mix(np.array([whole], dtype=np.uint64) * STEP + h)[0]
             out.append(np.array([whole], dtype=np.uint64))
         else:
             out.append(np.empty(0, np.uint64))
@@ -224,8 +224,10 @@ def _blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = members.select("unit", "at", "node", "n")
     blocks = shared.join(own, ["unit", "at"]).groupBy("shingle", "node").agg(F.first("n").alias("n"))
     blocks = pin(blocks)
-    lone = blocks.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1").select("shingle")
-    kept = pin(blocks.join(lone, "shingle"))
+    sizes = blocks.groupBy("shingle").agg(F.count("*").alias("m"), F.min("n").alias("least"), F.max("n").alias("most"))
+    # Two sets whose sizes differ by more than a link allows need no block.
+    open_ = sizes.where((F.col("m") > 2) | (F.col("m") == 2) & (100 * F.col("least") >= PERCENT * F.col("most"))).select("shingle")
+    kept = pin(blocks.join(open_, "shingle"))
     members = pin(members.select("key_id", "key_mark", "doc_id", "node", "n"))
     drop_folder(docs.sparkSession, folder)
     unpin(blocks)
@@ -337,12 +339,16 @@ def _pairs(out) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], ["u", "v"])
 
 
-def _open(blocks: DataFrame, roots: DataFrame) -> DataFrame:
-    """Blocks with their members' current roots, without those inside one component."""
+def _open(blocks: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
+    """Blocks with their members' current roots, without those inside one component and those of one pair that was tested."""
     now = blocks.select("shingle", "node", "n").join(roots, "node", "left")
     now = now.withColumn("root", F.coalesce("root", "node"))
-    mixed = now.groupBy("shingle").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed").select("shingle")
-    return pin(now.join(mixed, "shingle"))
+    spread = now.groupBy("shingle").agg(
+        (F.min("root") != F.max("root")).alias("mixed"), F.count("*").alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi")
+    )
+    pairs = tested.select(F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"), F.lit(True).alias("done")).distinct()
+    spread = spread.where("mixed").join(pairs, ["lo", "hi"], "left").where("m > 2 OR done IS NULL")
+    return pin(now.join(spread.select("shingle"), "shingle"))
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> tuple[DataFrame, DataFrame]:
@@ -357,7 +363,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = spark.createDataFrame([], "u binary, v binary")
     known = spark.createDataFrame([], "node binary, pivot binary, near double")
     roots = spark.createDataFrame([], "node binary, root binary")
-    left = _open(blocks, roots)
+    tested = links
+    left = _open(blocks, roots, tested)
     for turn in range(rounds):
         # The pivot of a block: a random member, another in every round, not of the block's first component alone.
         order = F.struct(F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "root")
@@ -370,11 +377,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         )
         best = votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).alias("b")).select(F.col("node").alias("u"), F.col("b.pivot").alias("v"))
         found = pin(_distances(best, sets))
+        tested = tested.unionByName(found.select("u", "v"))
         links = pin(links.unionByName(found.where(linked).select("u", "v")))
         if turn == 0:
             known = found.select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("near"))
         roots = components(links)
-        left = _open(left, roots)
+        left = _open(left, roots, tested)
     pairs = pin(_cells(left, known, sets))
     more = pin(_distances(pairs, sets).where(linked).select("u", "v"))
     old = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
