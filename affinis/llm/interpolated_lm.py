@@ -214,6 +214,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             _answer, "kind int, unit long, bucket int, counts binary, n long, v long"
         )
     )
+    drop_folder(spark, f"{folder}/asks=true")  # the answers are written
     sums = answers.where("unit = -1 AND kind = 0").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n_train, vocabulary = sums["n"] or 0, sums["v"] or 0
     p0 = 1.0 / (vocabulary + 1)
