@@ -4,7 +4,8 @@ A document is contaminated by an item if some part of it is within PERCENT of th
 as UTF-8 bytes with A-Z lowered and white space runs as one space; distances count bytes.
 
 1. Windows: of an item cut into edits + 1 pieces one must survive any allowed edits, so only places where a piece occurs
-   can start a match. Each gives item-sized windows: at the place it implies, and at the nearest start of a word. This loses nothing.
+   can start a match. Each gives the item-sized window at the place it implies. This loses nothing: the piece that survives
+   is off that place by no more than the edits before it, which the walks and the exact check allow for.
 2. The CGK embedding walks a window with random steps (one bit for each step and byte) and writes the byte under it; walks over
    similar strings fall into step again after an edit, so edit distance becomes Hamming distance.
 3. Bit sampling: a window is a candidate if, in one of WALKS * TABLES samples of SAMPLES positions, it agrees with the item, and
@@ -32,7 +33,7 @@ from affinis.llm.textscan import BYTE_VALUES, LOWERED, column_bytes, mix, powers
 
 PERCENT, RECALL = 10, 0.95
 PIECE = 9
-WALKS, TABLES, SAMPLES = 4, 10, 4
+WALKS, TABLES, SAMPLES = 6, 8, 4
 # Chance agreement of unrelated text is about 0.08 of the places; at the largest distance it is mostly over 0.3.
 CLOSE, REACH = 0.2, 1.8
 BLOCK_BYTES = 4 << 20
@@ -149,9 +150,8 @@ def edit_distance_within(item: bytes, text: bytes) -> int:
     return best
 
 
-def _windows(items: Items, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, item, start) of the distinct item-sized windows; first, last: bounds of each document in data."""
-    spaces = np.flatnonzero((data == 32) | (data == 10))
+def _windows(items: Items, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, item, start) of the distinct item-sized windows; first: where each document begins in data."""
     found = []
     for q, (keys, item, offset, sieve) in items.pieces.items():
         h = gram_hashes(data, q)
@@ -161,14 +161,8 @@ def _windows(items: Items, data: np.ndarray, first: np.ndarray, last: np.ndarray
         which = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
         at = np.repeat(at, n)
         doc = np.searchsorted(first, at, side="right") - 1
-        raw = np.maximum(at - offset[which], first[doc])
-        k = np.searchsorted(spaces, raw)
-        left = np.where(k > 0, spaces[np.maximum(k - 1, 0)] + 1, 0) if len(spaces) else np.zeros_like(raw)
-        right = np.where(k < len(spaces), spaces[np.minimum(k, len(spaces) - 1)] + 1, raw) if len(spaces) else raw
-        near = np.where(raw - left <= right - raw, left, right)
-        near = np.clip(near, first[doc], np.maximum(last[doc] - 1, first[doc]))
-        for start in (raw, near):
-            found.append(np.stack([doc, item[which], start], axis=1))
+        start = np.maximum(at - offset[which], first[doc])
+        found.append(np.stack([doc, item[which], start], axis=1))
     if not found:
         return tuple(np.empty((3, 0), dtype=np.int64))
     return tuple(np.unique(np.concatenate(found), axis=0).T)
@@ -181,7 +175,7 @@ def matches(items: Items, texts: list[bytes]) -> Iterator[tuple[int, int, int]]:
     data = np.frombuffer(joined, dtype=np.uint8)
     lengths = np.array([len(t) for t in plain], dtype=np.int64)
     first = np.cumsum(lengths + 1) - (lengths + 1)
-    doc, item, start = _windows(items, data, first, first + lengths)
+    doc, item, start = _windows(items, data, first)
     keep = np.zeros(len(doc), dtype=bool)
     for lo in range(0, len(doc), 1 << 16):
         s = slice(lo, lo + (1 << 16))
