@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -86,6 +87,12 @@ def unpin(*frames: DataFrame) -> None:
         drop_folder(df.sparkSession, df._pinned_at)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps: it does so once the driver has collected their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder through the file system that holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
