@@ -36,7 +36,7 @@ from affinis.llm.common import fresh, row_key
 from affinis.llm.components import components
 from affinis.llm.interpolated_lm import _bucket_edges, _gaps, _ungaps, _unzip, _values, _zip
 from affinis.llm.textscan import column_bytes, mix, word_hashes
-from affinis.session import drop_folder, pin, scratch_dir, unpin
+from affinis.session import drop_folder, pin, release_shuffles, scratch_dir, unpin
 
 WORDS, PERCENT = 5, 80
 UNIT, CELL, FREQUENT = 16 << 20, 192, 1 << 17
@@ -235,7 +235,7 @@ def _blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _sets(docs: DataFrame, members: DataFrame, blocks: DataFrame) -> DataFrame:
-    """node, n, shingles (sorted, 64-bit), signature of the nodes in blocks; one document each is read again."""
+    """node, n, shingles (sorted, packed), signature of the nodes in blocks; one document each is read again."""
     first = members.groupBy("node").agg(F.min(F.struct("key_id", "key_mark")).alias("k"))
     wanted = blocks.select("node").distinct().join(first, "node").select("k.key_id", "k.key_mark")
 
@@ -246,7 +246,7 @@ def _sets(docs: DataFrame, members: DataFrame, blocks: DataFrame) -> DataFrame:
                 [
                     pa.array([node_of(s) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([_gaps(s) if len(s) else b"" for s in sets], pa.binary()),
                     pa.array([signature(s).tobytes() for s in sets], pa.binary()),
                 ],
                 ["node", "n", "shingles", "signature"],
@@ -263,7 +263,7 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             common, total = [], []
             for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(s.as_py(), dtype=np.uint64) for s in (a, b))
+                x, y = _ungaps(a.as_py()), _ungaps(b.as_py())
                 where = np.searchsorted(y, x)
                 where[where == len(y)] = 0
                 both = int((y[where] == x).sum())
@@ -356,9 +356,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keyed = docs.select(
         *row_key(F.col(id_col), F.col(text_col)), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     )
+    spark = docs.sparkSession
     members, blocks = _blocks(keyed)
+    release_shuffles(spark)
     sets = _sets(keyed, members, blocks)
-    spark = docs.sparkSession
+    release_shuffles(spark)
     linked = F.col("common") * 100 >= F.col("total") * PERCENT
     links = spark.createDataFrame([], "u binary, v binary")
     known = spark.createDataFrame([], "node binary, pivot binary, near double")
@@ -383,6 +385,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             known = found.select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("near"))
         roots = components(links)
         left = _open(left, roots, tested)
+        release_shuffles(spark)
     pairs = pin(_cells(left, known, sets))
     more = pin(_distances(pairs, sets).where(linked).select("u", "v"))
     old = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
