@@ -316,14 +316,17 @@ def _cells(blocks: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
             b = b[(100 + PERCENT) * apart <= (100 - PERCENT) * (n[b] + n[a])]
             for k in b:
                 # A pair that shares several open blocks is tested in the first of them.
-                if np.intersect1d(r["open"], rows[k]["open"])[0] == r["shingle"]:
+                both = [x["open"].slice(x["row"], 1).flatten().to_numpy() for x in (r, rows[k])]
+                if np.intersect1d(*both)[0] == r["shingle"]:
                     yield (r["node"], rows[k]["node"])
 
     def run(batches):
         held, key = [], None
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
+            out, open_ = [], batch.column("open")
+            # The lists stay in Arrow; few pairs need them.
+            for k, r in enumerate(batch.drop_columns(["open"]).to_pylist()):
+                r["open"], r["row"] = open_, k
                 if (now := (r["shingle"], r["i"], r["j"])) != key:
                     out += join(held) if held else []
                     held, key = [], now
@@ -387,6 +390,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         left = _open(left, roots, tested)
         release_shuffles(spark)
     pairs = pin(_cells(left, known, sets))
+    release_shuffles(spark)
     more = pin(_distances(pairs, sets).where(linked).select("u", "v"))
     old = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
     return members, components(old.unionByName(more))
