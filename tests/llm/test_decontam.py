@@ -64,6 +64,35 @@ def test_recall_against_brute_force():
         assert not found - planted
 
 
+def test_long_items_are_all_found():
+    draw = random.Random(9)
+    words = ["".join(draw.choices("thandeorisblg", k=draw.randint(2, 9))) for _ in range(2000)]
+    text = lambda n: " ".join(draw.choices(words, k=n))[:n].strip()
+
+    def inserted(item, n):
+        k = draw.randrange(len(item))
+        return item[:k] + text(n) + item[k:]
+
+    def removed(item, n):
+        k = draw.randrange(len(item) - n)
+        return item[:k] + item[k + n :]
+
+    for size in (cgk_decontam.WALKED + 2, 500, 1000, 3000):
+        items = [(i, cgk_decontam.normal(text(size).encode())) for i in range(12)]
+        block = cgk_decontam.Items(items)
+        docs = []
+        for change in (edited, inserted, removed):
+            for k, (_, item) in enumerate(items):
+                args = (item.decode(), len(item) // 11)
+                part = change(*args, draw) if change is edited else change(*args)
+                docs.append((text(150) + " ") * (k % 3 > 0) + part + (" " + text(150)) * (k % 3 < 2))
+        found = {(d, i): x for d, i, x in cgk_decontam.matches(block, [t.encode() for t in docs])}
+        plain = [cgk_decontam.normal(t.encode()) for t in docs]
+        true = {(d, d % 12): cgk_decontam.edit_distance_within(block.texts[d % 12], t) for d, t in enumerate(plain)}
+        true = {(d, i): x for (d, i), x in true.items() if x <= block.edits[i]}
+        assert len(true) >= 34 and found == true
+
+
 def test_exact_copies_in_any_surroundings(spark):
     item = "The exact words of one fine question that has some forty letters and more"
     rows = [(1, f'x"{item}"y'), (2, item.upper().replace(" ", "\n ")), (3, f"zz{item}"), (4, item[:40]), (5, f"a {item}"), (5, f"a {item}")]
