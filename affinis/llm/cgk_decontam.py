@@ -18,7 +18,7 @@ as UTF-8 bytes with A-Z lowered and white space runs as one space; distances cou
 4. Candidates are verified by exact edit distance (bit-parallel, free ends in the document).
 
 Documents are read once for each block of items, and nothing is shuffled; a block is bounded by BLOCK_BYTES and is the only
-thing broadcast.
+thing broadcast. The walks' tables and buffers are bounded by WALKED, and what is held of a long item by its pieces.
 
 Defined cases: null and empty documents and items match nothing; items of the same text are reported each; repeated rows are
 reported as often as they occur; an empty table gives no rows; other columns are kept where documents are returned.
@@ -43,6 +43,8 @@ WALKS, TABLES, SAMPLES = 6, 8, 4
 CLOSE, REACH = 0.2, 1.8
 BLOCK_BYTES = 4 << 20
 LIMIT = 1 << 20
+# Hits of pieces held at a time before equal places are made one.
+HITS = 1 << 20
 FILTER_BITS = 20
 
 
@@ -170,11 +172,13 @@ def _windows(items: Items, data: np.ndarray, first: np.ndarray) -> tuple[np.ndar
         h = gram_hashes(data, q)
         at = np.flatnonzero(sieve[h >> np.uint64(64 - FILTER_BITS)])
         lo, hi = np.searchsorted(keys, h[at]), np.searchsorted(keys, h[at], side="right")
-        n = hi - lo
-        which = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
-        at = np.repeat(at, n)
-        doc = np.searchsorted(first, at, side="right") - 1
-        found.append((doc, item[which], at - offset[which], np.ones(len(at), dtype=np.int64)))
+        at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        cuts = np.flatnonzero(np.diff(np.cumsum(n) // HITS)) + 1
+        for at, lo, n in zip(*[np.split(x, cuts) for x in (at, lo, n)]):
+            which = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+            at = np.repeat(at, n)
+            doc = np.searchsorted(first, at, side="right") - 1
+            found.append(_distinct(doc, item[which], at - offset[which], np.ones(len(at), dtype=np.int64)))
     if not found:
         return tuple(np.empty((4, 0), dtype=np.int64))
     return _distinct(*[np.concatenate(c) for c in zip(*found)])

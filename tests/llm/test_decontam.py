@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 from affinis.llm import cgk_decontam
@@ -93,6 +94,21 @@ def test_long_items_are_all_found():
         assert len(true) >= 34 and found == true
 
 
+def test_memory_does_not_grow_with_the_item(monkeypatch):
+    draw = random.Random(2)
+    text = lambda n: " ".join("".join(draw.choices("thandeorisblg", k=6)) for _ in range(n // 7))
+    items = [(1, text(50000)), (2, "-" * 2000)]
+    docs = [text(300) + edited(items[0][1], 400, draw), "x" + "-" * 1900 + "y", text(3000)]
+    tracemalloc.start()
+    block = cgk_decontam.Items([(i, t.encode()) for i, t in items])
+    found = list(cgk_decontam.matches(block, [t.encode() for t in docs]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(d, i) for d, i, _ in found] == [(0, 0), (1, 1)] and found[1][2] == 100 and peak < 100e6
+    monkeypatch.setattr(cgk_decontam, "HITS", 1000)
+    assert list(cgk_decontam.matches(block, [t.encode() for t in docs])) == found
+
+
 def test_exact_copies_in_any_surroundings(spark):
     item = "The exact words of one fine question that has some forty letters and more"
     rows = [(1, f'x"{item}"y'), (2, item.upper().replace(" ", "\n ")), (3, f"zz{item}"), (4, item[:40]), (5, f"a {item}"), (5, f"a {item}")]
