@@ -5,7 +5,8 @@ of the blocks before and after it, and whether it stands in an article element o
 (navigation, form, advert, comments, ...). A small decision tree (Gini, trained on the labelled table below) says which
 blocks are main text. Pages are handled one by one where they are read; nothing is shuffled.
 
-Defined cases: a null or empty page, or one without main text, gives an empty string; unclosed and stray tags are tolerated;
+Defined cases: a null or empty page, or one without main text, gives an empty string; unclosed and stray tags are tolerated
+(an embedded element, such as svg or video, goes with its content only if it has an end tag; unclosed scripts run to the page's end);
 text inside a block has its character references decoded and its white space turned into single spaces; blocks are joined by
 one space in page order; repeated rows stay; other columns are not read.
 """
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # HTML element names by their role, and words of class names that mark other parts of a page.
-SKIPPED = "script|style|noscript|template|textarea|select|svg|iframe|object|title|canvas|audio|video"
+RAW = "script|style|textarea|title"
+EMBEDDED = "noscript|template|select|svg|iframe|object|canvas|audio|video"
 CONTAINERS = frozenset(
     "div section article main nav header footer aside form ul ol dl table body html dialog figure details fieldset menu".split()
 )
@@ -38,10 +40,16 @@ WEAK_MARKS = frozenset("header footer masthead topbar bottom legal".split())
 MAIN_WORDS = frozenset("article content main post entry story body text".split())
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{SKIPPED})\b[^>]*>.*?(?:</(?P=skip)\s*>|\Z)|<[!?][^>]*>"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(?P<bad>/?[a-z][^>]*)>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+EMBEDDINGS = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<script(?=[\s/>])[^>]*>.*?(?:</script\s*>|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>{EMBEDDED})(?=[\s/>])(?P<rest>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
+    re.S | re.I,
+)
+EMBEDDED_TAGS = frozenset(EMBEDDED.split("|"))
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I)
 SPLIT = re.compile(r"[^a-z]+")
@@ -76,6 +84,22 @@ LABELLED = [
 ]
 
 
+def embedded_ends(page: str) -> dict[int, int]:
+    """Where each embedded element that has an end tag of its own begins and ends; others lose their tag only."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in EMBEDDINGS.finditer(page):
+        if m["tag"] is None:
+            continue
+        begun = opened.setdefault(m["tag"].lower(), [])
+        if not m["close"]:
+            if not m["rest"].endswith("/"):
+                begun.append(m.start())
+        elif begun:
+            ends[begun.pop()] = m.end()
+    return ends
+
+
 def page_blocks(page: str) -> list[tuple[str, str, int, int]]:
     """(text, where, words, words in links) of each block with a word, in page order."""
     out: list[tuple[str, str, int, int]] = []
@@ -95,7 +119,9 @@ def page_blocks(page: str) -> list[tuple[str, str, int, int]]:
             out.append((text, where, n, min(n, links)))
         runs.clear()
 
-    for m in TOKEN.finditer(page):
+    at, ends = 0, None
+    while m := TOKEN.match(page, at):
+        at = m.end()
         text = m["text"]
         if text is not None:
             runs.append((html.unescape(text), linked))
@@ -104,6 +130,10 @@ def page_blocks(page: str) -> list[tuple[str, str, int, int]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in EMBEDDED_TAGS:
+            ends = embedded_ends(page) if ends is None else ends
+            at = ends.get(m.start(), at)
+            continue
         if m["close"]:
             if tag == "a":
                 linked = False

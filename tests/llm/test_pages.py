@@ -57,6 +57,21 @@ def test_marked_parts_decide_on_article_pages(tree):
             assert [bool(f) for f in found] == [b[1] == "article" for b in page]
 
 
+def test_embedded_elements_take_nothing_after_them(tree):
+    body = " ".join(["Some words of real prose that goes on for quite a while."] * 3)
+    for part, left in (
+        ('<svg class="i"/>', ""), ("<svg><title>No</title><style/><path/></svg>", ""), ("<svg><svg/>no<svg>no</svg>no</svg>", ""),
+        ("<video-js id=x></video-js>", ""), ("<title-bar>Yes</title-bar>", "Yes "), ("<object-x/>", ""), ("<video src=a>", ""),
+        ('<iframe src="a>b" />', ""), ("<iframe srcdoc='<p>no</p>'>no</iframe>", ""), ("<select><option>no</select>", ""),
+        ("<object data=a>no<object data=b>no</object></object>", ""), ("<video src=a><video src=b>no</video>", ""),
+        ("<!-- <svg> --><svg>no</svg><script>'</svg>'</script>", ""), ("<SVG><g>no</SVG >", ""), ("<noscript>no</noscript><canvas>", ""),
+    ):
+        page = f"<article><p>{body}</p>{part}<p>Second {body}</p></article><nav><svg></svg></nav>"
+        assert html_blocks.main_text(page, tree) == f"{body} {left}Second {body}", part
+    assert [b[0] for b in html_blocks.page_blocks('<p>One</p><svg class="i"/><p>Two words here</p>')] == ["One", "Two words here"]
+    assert len(html_blocks.page_blocks("<p>word<video>" * 20000)) == 20000
+
+
 def test_odd_pages(spark, tree):
     rows = [
         (1, None, None, "x"), (2, "u", "", "x"), (None, "u", "<p", "x"), (3, "u", "plain < text", "x"), (3, "u", "plain < text", "x"),
