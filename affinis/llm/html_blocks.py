@@ -38,6 +38,12 @@ MARKS = frozenset(
 )
 WEAK_MARKS = frozenset("header footer masthead topbar bottom legal".split())
 MAIN_WORDS = frozenset("article content main post entry story body text".split())
+# Words that leave the meaning of a mark or a main word as it is: `sidebar-left`, `related-posts`, `content-wrapper`.
+PART_WORDS = frozenset(
+    "container wrapper wrap box block list section area inner outer left right top item items bar link links icon icons button "
+    "buttons form media slot unit main primary secondary site page posts articles stories".split()
+)
+MAIN_TAGS = frozenset("article main div section td".split())
 
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
@@ -50,8 +56,8 @@ EMBEDDINGS = re.compile(
     re.S | re.I,
 )
 EMBEDDED_TAGS = frozenset(EMBEDDED.split("|"))
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none\b", re.I)
 SPLIT = re.compile(r"[^a-z]+")
 
 ARTICLE, PLAIN, OTHER = "article", "plain", "other"
@@ -84,6 +90,35 @@ LABELLED = [
 ]
 
 
+def marked(tag: str, rest: str) -> tuple[bool, bool]:
+    """Whether the attributes of a tag hide its content, and whether they name it as other than main text.
+
+    A class, id or role is a mark as a whole, not by one of its words: `has-sidebar` and `comments-open` tell of something
+    else. Of mixed names the main one decides on the elements that hold articles; a role decides by itself.
+    """
+    hidden = role = False
+    tokens: list[set[str]] = []
+    for name, value in ATTRIBUTE.findall(rest):
+        name, value = name.lower(), value.strip("\"'").lower()
+        if name == "hidden":
+            hidden = hidden or value not in ("false", "until-found")
+        elif name == "style":
+            hidden = hidden or bool(NO_DISPLAY.search(html.unescape(value)))
+        elif name in ("class", "id", "role"):
+            found = [{w for w in SPLIT.split(t) if w} for t in value.split()]
+            role = role or name == "role" and any(t and t <= MARKS for t in found)
+            tokens += found
+    # A class of digits or signs alone says nothing.
+    tokens = [t for t in tokens if t]
+    marks = [t for t in tokens if t & MARKS and t <= MARKS | PART_WORDS]
+    weak = [t for t in tokens if t & WEAK_MARKS and t <= WEAK_MARKS | MARKS | PART_WORDS]
+    if any(t & MAIN_WORDS for t in tokens):
+        weak = []
+    main = tag in ("article", "main") and len(marks) < len(tokens)
+    main = main or tag in MAIN_TAGS and any(t & MAIN_WORDS and t <= MAIN_WORDS | PART_WORDS for t in tokens)
+    return hidden, role or bool(marks and not main) or bool(weak)
+
+
 def embedded_ends(page: str) -> dict[int, int]:
     """Where each embedded element that has an end tag of its own begins and ends; others lose their tag only."""
     ends: dict[int, int] = {}
@@ -151,10 +186,8 @@ def page_blocks(page: str) -> list[tuple[str, str, int, int]]:
                 leaf_other = False
             continue
         rest = m["rest"]
-        names = {w for v in NAMES.findall(rest) for w in SPLIT.split(v.lower())} if "=" in rest else set()
-        main_named = bool(names & MAIN_WORDS)
-        other = tag in OTHER_PARTS or bool(names & MARKS) or bool(names & WEAK_MARKS and not main_named)
-        other = other or bool(rest and HIDDEN.search(rest)) or (tag == "header" and not mains)
+        hidden, named = marked(tag, rest) if rest else (False, False)
+        other = tag in OTHER_PARTS or named or hidden or (tag == "header" and not mains)
         if tag == "body" or tag == "html":
             other = False
         if tag in CONTAINERS:

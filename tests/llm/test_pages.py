@@ -72,6 +72,30 @@ def test_embedded_elements_take_nothing_after_them(tree):
     assert len(html_blocks.page_blocks("<p>word<video>" * 20000)) == 20000
 
 
+def test_names_and_attributes_that_mark_no_part(tree):
+    body = " ".join(["Some words of real prose that goes on for quite a while."] * 3)
+    for attributes in (
+        'class="overflow-hidden"', 'class="md:hidden"', 'title="the hidden truth"', "aria-hidden=false", 'data-x="display:none"', "hidden=until-found",
+        'class="content has-sidebar"', 'class="post comments-open"', 'class="no-cookies"', 'id="content" class="sidebar"', 'data-id="menu"',
+        'style="display: block; color: red"', 'class="with-header"', 'class="content-wrapper sidebar-left"',
+    ):
+        for tag in ("div", "section"):
+            page = f"<{tag} {attributes}><p>{body}</p><p>{body}</p></{tag}><p>A few words after it</p>"
+            assert html_blocks.main_text(page, tree).startswith(f"{body} {body}"), attributes
+        assert html_blocks.main_text(f"<article {attributes}><p>{body}</p></article>", tree) == body, attributes
+        assert html_blocks.main_text(f"<div {attributes}><article><p>{body}</p></article></div>", tree) == body, attributes
+
+
+def test_names_and_attributes_that_mark_other_parts(tree):
+    body = " ".join(["Some words of real prose that goes on for quite a while."] * 3)
+    for attributes in (
+        "hidden", 'hidden=""', 'HIDDEN class="content"', 'style="color:red; display : none"', 'class="sidebar"', "class=sidebar-left", 'id="comments"',
+        'class="x1 related-posts"', 'class="main-navigation"', 'role="navigation" class="content"', 'class="site-footer"', 'class="ad-1"', 'class="widget widget_text"',
+    ):
+        page = f"<article><p>{body}</p><div {attributes}><p>Gone {body}</p></div></article>"
+        assert html_blocks.main_text(page, tree) == body, attributes
+
+
 def test_odd_pages(spark, tree):
     rows = [
         (1, None, None, "x"), (2, "u", "", "x"), (None, "u", "<p", "x"), (3, "u", "plain < text", "x"), (3, "u", "plain < text", "x"),
