@@ -9,8 +9,8 @@ block holds the documents that share one. Inside the blocks the metric method ru
 1. Every block has a pivot (its smallest set hash, a random member). A document belongs to the Voronoi region of the pivot
    with which it shares most blocks; its exact distance to that pivot is taken, and it links to a pivot within EPS.
 2. Links are contracted to components. Blocks inside one component are done; the rest are joined again with another pivot.
-3. What is left is joined region by region: pairs of different components, in cells of bounded size (a region of m
-   documents is dealt over m / CELL parts, and each pair of parts is a cell). The triangle inequality rules out pairs with a common
+3. What is left is joined block by block: pairs of different components, in cells of bounded size (a block of m
+   documents is dealt over m / CELL parts, and each pair of parts is a cell). Regions do not deal the pairs. The triangle inequality rules out pairs with a common
    pivot whose distances to it differ by more than EPS, sizes and a parity signature bound the rest, and what passes is
    verified on the whole sets.
 
