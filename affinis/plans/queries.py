@@ -43,6 +43,7 @@ from affinis.sources.feature_store import FEATURE_DEFS, GROUP_ENTITIES, FeatureS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOP_K, COMPONENTS = 10, 50
+HEAD = 1000
 STRICT_TIME = {"rule": "strftime_format", "column": "timestamp", "format": "%Y-%m-%d %H:%M:%S"}
 
 
@@ -385,19 +386,31 @@ def _split_events(spark, sf) -> DataFrame:
     return pin(split.temporal_holdout_split(ix_clean(spark, sf), ["timestamp", "seq"]))
 
 
+def _offered(train: DataFrame, users: DataFrame, head: int = HEAD) -> DataFrame:
+    """user_id, item_id, place: the most used items for each user, TOP_K more than the user has rated.
+
+    The first `head` places are one array; later ones go to users with many ratings only and are joined, so the rows grow
+    with the ratings and no array is longer than `head`.
+    """
+    ranked = pin(eda.popularity_rank(train).select("item_id", F.col("rank").alias("place")))
+    rated = train.groupBy("user_id").agg(F.count_distinct("item_id").alias("n"))
+    asked = users.join(rated, "user_id", "left").select("user_id", (F.coalesce("n", F.lit(0)) + TOP_K).alias("last"))
+    pool = ranked.filter(F.col("place") <= head).agg(F.sort_array(F.collect_list(F.struct("place", "item_id"))).alias("pool"))
+    own = F.slice(pool.scalar(), F.lit(1), F.least("last", F.lit(head)).cast("int"))
+    near = asked.select("user_id", F.explode(own).alias("item")).select("user_id", "item.item_id", "item.place")
+    steps = F.sequence(F.lit(1), F.floor((F.col("last") - 1) / head))
+    far = asked.filter(F.col("last") > head).select("user_id", "last", F.explode(steps).alias("step"))
+    places = F.sequence(F.col("step") * head + 1, F.least("last", (F.col("step") + 1) * head))
+    far = far.select("user_id", F.explode(places).alias("place")).join(ranked, "place")
+    return near.unionByName(far)
+
+
 def _popular_unseen(train: DataFrame, users: DataFrame) -> DataFrame:
     """Recommendations any engine can repeat: the most used items the user has not rated.
 
-    A list cannot run out within TOP_K places more than any user has rated, so that many items are ranked.
+    A list cannot run out within TOP_K places more than the user has rated, so that many items are offered.
     """
-    rated = train.groupBy("user_id").agg(F.count_distinct("item_id").alias("n")).agg(F.max("n")).first()[0] or 0
-    pool = eda.top_items(train, TOP_K + rated).agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("interactions")).alias("n"), "item_id"))).alias("pool")
-    )
-    offered = users.select("user_id", F.posexplode(pool.scalar()).alias("place", "item")).select(
-        "user_id", F.col("item.item_id").alias("item_id"), "place"
-    )
-    left = joins.anti_join_seen(offered, train)
+    left = joins.anti_join_seen(_offered(train, users), train)
     rank = F.row_number().over(W.partitionBy("user_id").orderBy("place")).cast("long")
     return left.select("user_id", "item_id", rank.alias("rank")).filter(F.col("rank") <= TOP_K)
 

@@ -1,8 +1,10 @@
 import math
+from collections import Counter
 
 import pytest
 
 from affinis.operators import evaluate, joins, split
+from affinis.plans import queries
 from tests.helpers import as_dict, as_set
 
 
@@ -76,3 +78,20 @@ def test_membership_joins(spark):
     rated = spark.createDataFrame([(1, 10, 2.0), (2, 20, 0.0)], "user_id BIGINT, item_id BIGINT, rating DOUBLE")
     left = joins.anti_join_seen(df.filter("user_id IN (1, 2)"), rated)
     assert as_set(left) == {(2, 20)}
+
+
+def test_offers_grow_with_own_ratings(spark):
+    """One user with many items does not lengthen the lists of the others."""
+    rows = [(1, i, 4.0) for i in range(400)] + [(u, i, 4.0) for u in range(2, 40) for i in range(u % 4)] + [(2, 7, 0.0)]
+    train = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    users = spark.createDataFrame([(u,) for u in range(1, 45)], "user_id long")
+    own = {u: {i for v, i, _ in rows if v == u} for u in range(1, 45)}
+    times = Counter(i for _, i, _ in rows)
+    order = sorted(times, key=lambda i: (-times[i], i))
+    for head in (7, 1000):
+        found = [tuple(r) for r in queries._offered(train, users, head).select("user_id", "place", "item_id").collect()]
+        assert sorted(found) == [(u, k + 1, i) for u in sorted(own) for k, i in enumerate(order[: len(own[u]) + 10])]
+    seen = {(u, i) for u, i, r in rows if r > 0}
+    best = {u: [i for i in order if (u, i) not in seen][:10] for u in own}
+    ranked = {(r.user_id, r.rank, r.item_id) for r in queries._popular_unseen(train, users).collect()}
+    assert ranked == {(u, k + 1, i) for u in own for k, i in enumerate(best[u])}
