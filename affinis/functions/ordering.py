@@ -18,6 +18,14 @@ from affinis.session import pin
 HOT_ROWS = 5_000_000
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """`name`, with underscores put in front until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def fits_one_task(df: DataFrame, hot_rows: int = HOT_ROWS) -> bool:
     return df.count() <= hot_rows
 
@@ -69,6 +77,36 @@ def with_running_total(
     )
 
 
+def numbered(df: DataFrame, order: Sequence[str | Column], out: str) -> DataFrame:
+    """Add the 0-based position of each row in one order over the whole table, which is read as a written one.
+
+    One range shuffle; every slice is written in order, so a row's place in its slice is its place in the file and no second
+    shuffle follows. Slices start at the sizes of those before them (one row a slice). Ties are numbered in any order.
+    """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = fresh("place", df)
+    sliced = pin(
+        df.repartitionByRange(slices, *order).sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id())
+    )
+    # monotonically_increasing_id() is the partition in the upper bits and the row of it in the lower 33.
+    number, row = F.shiftright(place, 33), F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    number_name, start = fresh("slice", df), fresh("start", df)
+    starts = (
+        sliced.groupBy(number.alias(number_name))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            number_name,
+            F.coalesce(F.sum("n").over(W.orderBy(number_name).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(start),
+        )
+    )
+    return (
+        sliced.withColumn(number_name, number)
+        .join(F.broadcast(starts), number_name)  # one row a slice, a number set by configuration
+        .withColumn(out, F.col(start) + row)
+        .select(*df.columns, out)
+    )
+
+
 def with_position(
     df: DataFrame, order: Sequence[str | Column], out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
