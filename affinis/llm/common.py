@@ -39,3 +39,21 @@ def row_key(id_col: Column, text: Column) -> list[Column]:
     """
     mark = F.xxhash64(F.isnull(id_col), F.isnull(text), id_col.cast("long"), text)
     return [F.coalesce(id_col.cast("long"), F.lit(0)).alias("key_id"), mark.alias("key_mark")]
+
+
+def attach(rows: DataFrame, facts: DataFrame, key: str, weight: str, share: int = 1_000) -> DataFrame:
+    """`rows` with the columns of `facts`, one row a key (nulls are a key), whose `weight` is the key's number of rows.
+
+    Keys that hold a `share`th of all rows or more, at most `share` by that, are joined by broadcast and never meet in a
+    task; the others go through a shuffle. Both tables are read twice: give written ones.
+    """
+    total = facts.agg(F.sum(weight)).scalar()
+    mark, name = fresh("attached", rows, facts), fresh("fact_key", rows, facts)
+    renamed = facts.withColumnRenamed(key, name)
+    is_hot = F.col(weight) * share >= total
+    same = F.col(key).eqNullSafe(F.col(name))
+    hot = renamed.filter(is_hot).withColumn(mark, F.lit(True))
+    flagged = rows.join(F.broadcast(hot), same, "left")
+    near = flagged.filter(F.col(mark))
+    far = flagged.filter(F.col(mark).isNull()).select(*rows.columns).join(renamed.filter(~is_hot), same)
+    return near.drop(mark, name).unionByName(far.drop(name))

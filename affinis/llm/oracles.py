@@ -77,3 +77,127 @@ d AS (
          '&gt;', '>'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g')) AS text FROM a)
 SELECT page_id, url, text, length(text) AS n_chars FROM d
 """
+
+
+def _crc_table() -> list[int]:
+    """What each byte value leaves after eight steps of the reflected CRC-32."""
+    out = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        out.append(value)
+    return out
+
+
+ORACLES["op11_importance_resampling"] = r"""
+WITH w AS (
+  SELECT 0 AS side, row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS ws
+  FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), NULL, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') FROM benchmark),
+f AS (
+  SELECT side, rid, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS g FROM w),
+n AS (SELECT side, rid, g, count(*) AS n FROM f GROUP BY ALL),
+c AS (
+  SELECT g, xor(4294967295::UBIGINT, list_reduce(list_concat([4294967295::UBIGINT],
+           list_transform(range(0, strlen(g)), lambda i: ('0x' || substr(hex(g), (2 * i + 1)::BIGINT, 2))::UBIGINT)),
+           lambda c, b: xor(c >> 8, ({TABLE}::UBIGINT[])[(xor(c, b) & 255)::BIGINT + 1]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT g FROM n)),
+b AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t
+  FROM n JOIN c USING (g) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM b),
+d AS (
+  SELECT rid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total FROM n JOIN c USING (g) JOIN gain USING (bucket)
+  WHERE side = 0 GROUP BY rid),
+x AS (
+  SELECT w.rid, doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features,
+         CASE WHEN n_features > 0 THEN floor(total::DOUBLE / n_features)::BIGINT ELSE 0 END AS weight,
+         ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM w LEFT JOIN d USING (rid) WHERE side = 0),
+y AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM x),
+r AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank, count(*) OVER () AS n FROM y WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank FROM y LEFT JOIN r USING (rid)
+"""
+ORACLES["op11_importance_resampling"] = (
+    ORACLES["op11_importance_resampling"]
+    .replace("{UPPER}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    .replace("{LOWER}", "abcdefghijklmnopqrstuvwxyz")
+    .replace("{WORD}", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    .replace("{TABLE}", str(_crc_table()))
+)
+
+_NEAREST = """
+a{0} AS (
+  SELECT rid, part, v, min(list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - w[i]) * (v[i] - w[i])))::BIGINT * 64 + e) AS best
+  FROM p JOIN b{0} USING (part) GROUP BY rid, part, v)"""
+_REPLACED = """
+m{1} AS (
+  SELECT part, e, i, floor(sum(x) / count(*))::BIGINT AS x
+  FROM (SELECT part, best % 64 AS e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{0}) GROUP BY part, e, i),
+b{1} AS (
+  SELECT part, e, coalesce(n.w, b{0}.w) AS w
+  FROM b{0} LEFT JOIN (SELECT part, e, list(x ORDER BY i) AS w FROM m{1} GROUP BY part, e) n USING (part, e))"""
+
+ORACLES["op12_vector_codes"] = (
+    """
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT rid, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS v FROM k, range(16) r(part)),
+b0 AS (SELECT part, rid - 1 AS e, v AS w FROM p WHERE rid <= 64),"""
+    + ",".join(_NEAREST.format(k) + "," + _REPLACED.format(k, k + 1) for k in range(2))
+    + ","
+    + _NEAREST.format(2)
+    + """,
+c AS (
+  SELECT rid, string_agg(printf('%02x', (best % 64)::INT), '' ORDER BY part) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY rid),
+q AS (SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN c USING (rid), q
+"""
+)
+
+_ASSIGN = (
+    "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+ORACLES["op13_secret_owners"] = (
+    "WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS owner, coalesce(text, '') AS t FROM documents),\nh AS ("
+    + "\n  UNION ALL ".join(
+        f"SELECT rid, owner, {kind} AS kind, regexp_extract_all(t, '{pattern}') AS m, regexp_split_to_array(t, '{pattern}') AS p FROM d"
+        for kind, pattern in enumerate([_ASSIGN, "AKIA[A-Z0-9]+", "[0-9a-f]+", "[A-Za-z0-9+/_-]{20,}"])
+    )
+    + """),
+s AS (
+  SELECT rid, owner, kind, m[i] AS hit,
+         list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM h)),
+v AS (
+  SELECT rid, owner, kind, a::BIGINT AS a, (a + length(hit))::BIGINT AS b,
+         CASE WHEN kind = 0 THEN regexp_extract(hit, 'ASSIGN', 2) ELSE hit END AS value FROM s),
+r AS (
+  SELECT *, len(list_distinct(string_split(value, ''))) >= 8 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS random
+  FROM v WHERE length(value) >= CASE kind WHEN 0 THEN 12 WHEN 1 THEN 18 WHEN 2 THEN 16 ELSE 20 END),
+c AS (
+  SELECT * FROM r WHERE kind < 3 OR random AND NOT EXISTS (
+    SELECT 1 FROM r q WHERE q.rid = r.rid AND q.kind < 3 AND q.a <= r.a AND q.b >= r.b)),
+o AS (
+  SELECT value, CASE WHEN count(DISTINCT owner) >= 3 THEN 'copied' WHEN count(DISTINCT owner) = 1 AND bool_or(random) THEN 'live'
+                     ELSE 'open' END AS verdict FROM c GROUP BY value),
+k AS (
+  SELECT rid, kind, a, verdict, ['assign', 'access', 'hex', 'live'][kind + 1] || ':' || a || ':' || b AS span
+  FROM c JOIN o USING (value) WHERE kind < 3 OR verdict = 'live')
+SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY a, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY a, kind), '') AS spans,
+       count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'copied') AS n_copied,
+       count(*) FILTER (verdict = 'open') AS n_open
+FROM d LEFT JOIN k USING (rid) GROUP BY rid, doc_id
+""".replace("ASSIGN", _ASSIGN)
+)

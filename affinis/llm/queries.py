@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from affinis.llm import (
     cgk_decontam,
     html_blocks,
+    importance,
     interpolated_lm,
     jaccard_regions,
     line_dedup,
     packing,
     quality_rules,
+    secrets,
     suffix_dedup,
     token_files,
+    vector_codes,
     warc,
 )
 from affinis.llm.common import table
@@ -86,6 +89,21 @@ def op10_cgk_decontamination(spark, sf):
     return cgk_decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op11_importance_resampling(spark, sf):
+    return importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op12_vector_codes(spark, sf):
+    return vector_codes.compress(table(spark, sf, "embeddings"))
+
+
+@query
+def op13_secret_owners(spark, sf):
+    return secrets.scan_documents(table(spark, sf, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

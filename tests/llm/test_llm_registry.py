@@ -21,6 +21,11 @@ COLUMNS = {
     "op8_line_windows": ["doc_id", "text", "n_lines", "n_removed", "n_spans"],
     "op9_jaccard_regions": ["doc_id", "n_shingles", "component_id"],
     "op10_cgk_decontamination": ["doc_id", "item_id", "distance"],
+    "op11_importance_resampling": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op12_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13_secret_owners": [
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied", "n_open",
+    ],
 }
 
 
