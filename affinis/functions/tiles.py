@@ -1,83 +1,331 @@
-"""Best-scoring candidates per query vector, computed in bounded tiles.
+"""Best-scoring candidates per query vector, computed in bounded tiles and only where a better one can lie.
 
-Queries and candidates are hashed into slices and blocks; every (slice, block) tile is one join key
-of a cogroup, scored as one small matrix product, and only its best `n` per query leave the task. No
-side is collected or broadcast, and no pair of rows is materialised.
+Candidates are divided into cells around centres drawn from a sample of fixed size; a cell knows its radius and its largest norm.
+What a query can score at most in a cell follows from these alone:
+
+- Cauchy-Schwarz: no more than |q| times the largest norm, so cells of small norms fall away;
+- the ball around the centre: no more than q.c + |q| r;
+- the triangle inequality: every candidate is at least |q - c| - r away, and q.x = (|q|^2 + |x|^2 - |q - x|^2) / 2.
+
+A first pass scores each query in its most promising cell and gives the score to beat, the n-th best found there; a second pass sends
+the query only to cells whose bound reaches it. Bounds carry a slack far above rounding errors, and ties are kept, so results are those
+of all pairs. Every (block of a cell, part of its queries) tile is one key of a cogroup, scored as one small matrix product, and only its
+best `n` per query leave the task. No side is collected or broadcast, and no pair of rows is materialised; centres, radii and norms of
+at most `MAX_CELLS` cells travel with the tasks.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from affinis.session import pin
+
 SLICE_ROWS = 4_096
 BLOCK_ROWS = 32_768
 CHUNK_ROWS = 256  # query rows scored at once inside a task
+GROUPED = 64  # columns whose largest score stands for them, at most
+DIRECT_PAIRS = 1 << 30  # up to so many pairs scoring them all takes less time than finding cells
+CELL_ROWS = 256  # fewer candidates are not worth a cell of their own
+FINE_CELLS, MAX_CELLS = 64, 4_096  # cells below and above FINE_CELLS * BLOCK_ROWS candidates
+SAMPLED = 8_192  # candidates from which centres are drawn, at most
 
 _TILE_SCHEMA = "query_id BIGINT, item_id BIGINT, score DOUBLE"
 
 
-def _best(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the n largest finite scores per row; ties go to the lower column."""
-    columns = scores.shape[1]
-    if columns > n:
-        floor = np.partition(scores, columns - n, axis=1)[:, columns - n, None]
-        above, level = scores > floor, scores == floor
-        room = n - above.sum(axis=1, keepdims=True)
-        taken = above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= room))
+def _best(scores: np.ndarray, n: int, digits: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, score) of the n largest finite scores per row, rounded to `digits`; ties go to the lower column.
+
+    The n-th largest of the maxima of column groups is reached by n scores at least, so only what reaches it is ranked.
+    """
+    rows, columns = scores.shape
+    size = min(GROUPED, columns // (4 * n))
+    if size:
+        groups = columns // size
+        even = scores[:, : groups * size].reshape(rows, size, groups).max(axis=1)
+        floor = np.partition(even, groups - n, axis=1)[:, groups - n, None]
+        if digits is not None:
+            floor = np.round(floor, digits) - 10.0**-digits  # whatever may round to the floor
+        at, column = np.nonzero(scores >= floor)
     else:
-        taken = np.ones_like(scores, dtype=bool)
-    rows, cols = np.nonzero(taken)
-    finite = np.isfinite(scores[rows, cols])
-    return rows[finite], cols[finite]
-
-
-def _tile_scorer(n: int, digits: int | None):
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        vectors = left[left["vector"].notna()]
-        if vectors.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-        right = right.sort_values("item_id")
-        items = right["item_id"].to_numpy()
-        candidates = np.stack(right["vector"].to_numpy())
-        vectors = vectors.sort_values("query_id")
-        ids = vectors["query_id"].to_numpy()
-        queries = np.stack(vectors["vector"].to_numpy())
-
-        # Rows without a vector name the pairs of this tile to leave out.
-        masked = left[left["vector"].isna()]
-        masked = masked[masked["query_id"].isin(ids) & masked["item_id"].isin(items)]
-        mask_rows = np.searchsorted(ids, masked["query_id"].to_numpy().astype("int64"))
-        mask_cols = np.searchsorted(items, masked["item_id"].to_numpy().astype("int64"))
-
-        out = []
+        at, column = np.repeat(np.arange(rows), columns), np.tile(np.arange(columns), rows)
+    value = scores[at, column]
+    if digits is not None:
+        value = np.round(value, digits)
+    finite = np.isfinite(value)
+    at, column, value = at[finite], column[finite], value[finite]
+    order = np.lexsort((column, -value, at))
+    at, column, value = at[order], column[order], value[order]
+    place = np.arange(len(at)) - np.searchsorted(at, at)
+    return at[place < n], column[place < n], value[place < n]
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Vectors of one width as rows of a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+
+
+def _unpacked(packs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids, ascending, and vectors of packed rows."""
+    ids = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in packs["ids"]])
+    flat = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in packs["vectors"]])
+    order = np.argsort(ids, kind="stable")
+    return ids[order], flat.reshape(len(ids), -1)[order]
+
+
+def _tile_scorer(n: int, digits: int | None, skip_same: bool):
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        is_pack = pc.is_valid(left["ids"])
+        packs, masked = left.filter(is_pack), left.filter(pc.invert(is_pack))
+        empty = pa.table({"query_id": pa.array([], pa.int64()), "item_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        if not len(packs) or not len(right):
+            return empty
+        ids, queries = _unpacked(packs)
+        items, candidates = _unpacked(right)
+
+        # Rows without a pack name the pairs of this tile to leave out.
+        mask_query, mask_item = masked["query_id"].to_numpy(), masked["item_id"].to_numpy()
+        here = np.isin(mask_query, ids) & np.isin(mask_item, items)
+        mask_rows, mask_cols = np.searchsorted(ids, mask_query[here]), np.searchsorted(items, mask_item[here])
+        if skip_same:
+            same = np.flatnonzero(np.isin(ids, items))
+            mask_rows = np.concatenate([mask_rows, same])
+            mask_cols = np.concatenate([mask_cols, np.searchsorted(items, ids[same])])
+
+        out = [empty]
         for start in range(0, len(ids), CHUNK_ROWS):
             stop = min(start + CHUNK_ROWS, len(ids))
             scores = queries[start:stop] @ candidates.T
-            if digits is not None:
-                scores = np.round(scores, digits)
-            here = (mask_rows >= start) & (mask_rows < stop)
-            scores[mask_rows[here] - start, mask_cols[here]] = -np.inf
-            rows, cols = _best(scores, n)
-            out.append(
-                pd.DataFrame(
-                    {
-                        "query_id": ids[start + rows],
-                        "item_id": items[cols],
-                        "score": scores[rows, cols],
-                    }
-                )
-            )
-        return pd.concat(out, ignore_index=True)
+            inside = (mask_rows >= start) & (mask_rows < stop)
+            scores[mask_rows[inside] - start, mask_cols[inside]] = -np.inf
+            rows, cols, values = _best(scores, n, digits)
+            out.append(pa.table({"query_id": ids[start + rows], "item_id": items[cols], "score": values}))
+        return pa.concat_tables(out)
 
     return score
 
 
+@dataclass
+class Cells:
+    """What is known of each cell: its centre, radius, largest norm and number of candidates."""
+
+    centres: np.ndarray
+    radius: np.ndarray
+    norm: np.ndarray
+    rows: np.ndarray
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """(query, cell): a number that no score of the query in the cell exceeds."""
+        dots = queries @ self.centres.T
+        lengths = np.linalg.norm(queries, axis=1)[:, None]
+        reach = lengths + self.norm[None, :]
+        square = lengths**2 + (self.centres**2).sum(axis=1)[None, :] - 2 * dots
+        gap = np.maximum(0.0, np.sqrt(np.maximum(square, 0.0)) - self.radius - 1e-6 * reach)
+        near = (lengths**2 + self.norm**2 - gap**2) / 2
+        return np.minimum(np.minimum(near, dots + lengths * self.radius), lengths * self.norm) + 1e-9 * reach**2
+
+    def home(self, bounds: np.ndarray, n: int) -> np.ndarray:
+        """(query, cell): the cells of highest bound that together hold more than `n` candidates."""
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        held = np.cumsum(self.rows[order], axis=1)
+        first = np.concatenate([np.zeros((len(order), 1), dtype=held.dtype), held[:, :-1]], axis=1)
+        out = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(out, order, first <= n, axis=1)
+        return out
+
+
+def _centres(sample: np.ndarray, count: int) -> np.ndarray:
+    """`count` means of a sample at most, some of them dropped where the sample has fewer different vectors."""
+    centres = np.unique(sample, axis=0)
+    draw = np.random.default_rng(7)
+    centres = centres[np.sort(draw.choice(len(centres), min(count, len(centres)), replace=False))]
+    for _ in range(8):
+        nearest = _nearest(sample, centres)
+        rows = np.bincount(nearest, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        centres = sums[rows > 0] / rows[rows > 0, None]
+    return centres
+
+
+def _nearest(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argmin((centres**2).sum(axis=1)[None, :] / 2 - vectors @ centres.T, axis=1)
+
+
+def _in_cells(candidates: DataFrame, count: int) -> tuple[DataFrame, Cells]:
+    """Candidates with their cell, written once, and the cells."""
+    sample = candidates.orderBy(F.xxhash64("item_id"), "item_id").limit(min(SAMPLED, 16 * count)).collect()
+    centres = _centres(np.array([r["vector"] for r in sample], dtype=np.float64), count)
+
+    def place(batches):
+        for batch in batches:
+            vectors = _matrix(batch["vector"])
+            cell = np.concatenate([_nearest(vectors[k : k + 4_096], centres) for k in range(0, len(vectors), 4_096)] or [[]])
+            cell = cell.astype(np.int32)
+            away, norm = np.linalg.norm(vectors - centres[cell], axis=1), np.linalg.norm(vectors, axis=1)
+            yield pa.RecordBatch.from_pydict(
+                {"cell": cell, "item_id": batch["item_id"], "vector": batch["vector"], "away": away, "norm": norm}
+            )
+
+    schema = "cell INT, item_id BIGINT, vector ARRAY<DOUBLE>, away DOUBLE, norm DOUBLE"
+    placed = pin(candidates.select("item_id", "vector").mapInArrow(place, schema))
+    stats = placed.groupBy("cell").agg(F.max("away").alias("away"), F.max("norm").alias("norm"), F.count(F.lit(1)).alias("n"))
+    rows = stats.collect()  # a row a cell
+    radius, norm, held = np.zeros(len(centres)), np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
+    for r in rows:
+        radius[r["cell"]], norm[r["cell"]], held[r["cell"]] = r["away"], r["norm"], r["n"]
+    return placed.select("cell", "item_id", "vector"), Cells(centres, radius, norm, held)
+
+
+@dataclass
+class _Deal:
+    """Into how many blocks the candidates of a cell are dealt, and into how many parts its queries."""
+
+    blocks: np.ndarray
+    parts: np.ndarray
+    tasks: int
+
+    @staticmethod
+    def of(rows: np.ndarray, visits: np.ndarray, slice_rows: int, block_rows: int, parallel: int) -> _Deal:
+        blocks = np.maximum(1, -(-rows // block_rows))
+        target = max(CHUNK_ROWS, min(slice_rows, math.ceil(int((visits * blocks).sum()) / parallel)))
+        parts = -(-visits // target)
+        return _Deal(blocks, parts, max(1, min(int((blocks * parts).sum()), parallel)))
+
+    def table(self, spark) -> DataFrame:
+        cells = [(c, int(b), int(p)) for c, (b, p) in enumerate(zip(self.blocks, self.parts)) if p]
+        return spark.createDataFrame(cells, "cell INT, blocks INT, parts INT")
+
+
+_PACK_SCHEMA = "cell INT, bucket INT, ids BINARY, vectors BINARY"
+
+
+def _packed(rows: np.ndarray, cells: np.ndarray, buckets: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
+    """One row for each (cell, bucket) of a batch: the ids and vectors of `rows` that go there."""
+    order = np.lexsort((buckets, cells))
+    rows, cells, buckets = rows[order], cells[order], buckets[order]
+    cuts = np.flatnonzero((np.diff(cells, prepend=-1) != 0) | (np.diff(buckets, prepend=-1) != 0))
+    groups = np.split(rows, cuts[1:]) if len(cuts) else []
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(cells[cuts], pa.int32()),
+            pa.array(buckets[cuts], pa.int32()),
+            pa.array([ids[g].tobytes() for g in groups], pa.binary()),
+            pa.array([vectors[g].tobytes() for g in groups], pa.binary()),
+        ],
+        names=["cell", "bucket", "ids", "vectors"],
+    )
+
+
+def _bucket_of(mix: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return np.mod(mix, np.maximum(count, 1))
+
+
+def _ids(column) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _choices(batch, choose):
+    """(query row, cell) pairs that `choose(vectors, scores to beat)` marks, and the batch's vectors."""
+    vectors = _matrix(batch["vector"])
+    beat = np.nan_to_num(batch["beat"].to_numpy(zero_copy_only=False).astype(np.float64), nan=-np.inf)
+    found = [(r + k, c) for k in range(0, len(vectors), CHUNK_ROWS) for r, c in [np.nonzero(choose(vectors[k : k + CHUNK_ROWS], beat[k : k + CHUNK_ROWS]))]]
+    rows, cells = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
+    return rows, cells, vectors
+
+
+def _visits(queries: DataFrame, choose, n_cells: int) -> np.ndarray:
+    """How many queries go to each cell."""
+
+    def count(batches):
+        total = np.zeros(n_cells, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(_choices(batch, choose)[1], minlength=n_cells)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(at, pa.int32()), "n": total[at]})
+
+    out = np.zeros(n_cells, dtype=np.int64)
+    sums = queries.mapInArrow(count, "cell INT, n BIGINT").groupBy("cell").agg(F.sum("n").alias("n"))
+    for r in sums.collect():  # a row a cell
+        out[r["cell"]] = r["n"]
+    return out
+
+
+def _query_packs(queries: DataFrame, choose, deal: _Deal) -> DataFrame:
+    def pack(batches):
+        for batch in batches:
+            rows, cells, vectors = _choices(batch, choose)
+            part = _bucket_of(_ids(batch["mix"])[rows], deal.parts[cells])
+            yield _packed(rows, cells, part, _ids(batch["query_id"]), vectors)
+
+    return queries.mapInArrow(pack, _PACK_SCHEMA)
+
+
+def _candidate_packs(placed: DataFrame, deal: _Deal) -> DataFrame:
+    def pack(batches):
+        for batch in batches:
+            cells = batch["cell"].to_numpy().astype(np.int64)
+            rows = np.flatnonzero(deal.parts[cells])  # candidates of cells that nobody visits stay
+            block = _bucket_of(_ids(batch["mix"])[rows], deal.blocks[cells[rows]])
+            yield _packed(rows, cells[rows], block, _ids(batch["item_id"]), _matrix(batch["vector"]))
+
+    return placed.select("cell", "item_id", "vector", F.xxhash64("item_id").alias("mix")).mapInArrow(pack, _PACK_SCHEMA)
+
+
+def _every(count: str):
+    return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+
+def _tiles(left: DataFrame, right: DataFrame, tasks: int, scorer) -> DataFrame:
+    """Left and right rows of one (cell, block, part) meet; few bytes but much work a tile, so the task count is fixed."""
+    keys = ["cell", "block", "part"]
+    return (
+        left.repartition(tasks, *keys)
+        .groupBy(*keys)
+        .cogroup(right.repartition(tasks, *keys).groupBy(*keys))
+        .applyInArrow(scorer, _TILE_SCHEMA)
+    )
+
+
+def _scored(query_packs: DataFrame, candidate_packs: DataFrame, masked: DataFrame | None, deal: _Deal, scorer) -> DataFrame:
+    dealt = F.broadcast(deal.table(query_packs.sparkSession))  # a row a cell
+    absent = F.lit(None).cast("binary")
+    left = query_packs.join(dealt, "cell").select(
+        "cell",
+        _every("blocks").alias("block"),
+        F.col("bucket").alias("part"),
+        F.lit(None).cast("long").alias("query_id"),
+        F.lit(None).cast("long").alias("item_id"),
+        "ids",
+        "vectors",
+    )
+    if masked is not None:
+        left = left.unionByName(
+            masked.join(dealt, "cell").select(
+                "cell",
+                F.pmod(F.xxhash64("item_id"), "blocks").cast("int").alias("block"),
+                F.pmod(F.xxhash64("query_id"), "parts").cast("int").alias("part"),
+                "query_id",
+                "item_id",
+                absent.alias("ids"),
+                absent.alias("vectors"),
+            )
+        )
+    right = candidate_packs.join(dealt, "cell").select(
+        "cell", F.col("bucket").alias("block"), _every("parts").alias("part"), "ids", "vectors"
+    )
+    return _tiles(left, right, deal.tasks, scorer)
+
+
 def top_candidates(
     queries: DataFrame,
     candidates: DataFrame,
@@ -86,58 +334,62 @@ def top_candidates(
     digits: int | None = None,
     slice_rows: int = SLICE_ROWS,
     block_rows: int = BLOCK_ROWS,
+    cell_rows: int = CELL_ROWS,
+    direct_pairs: int = DIRECT_PAIRS,
+    skip_same: bool = False,
 ) -> DataFrame:
     """(query_id, item_id, score, rank) of the n best candidates per query.
 
-    `queries` is (query_id, vector), `candidates` (item_id, vector), both unique by id; `excluded`
-    is (query_id, item_id). Scores are dot products, rounded to `digits` when given; equal scores
-    rank by item_id.
+    `queries` is (query_id, vector), `candidates` (item_id, vector), both unique by id, of one width, and read more than once:
+    give written tables. `excluded` is (query_id, item_id); `skip_same` leaves out the candidate with the query's own id. Scores
+    are dot products, rounded to `digits` when given; equal scores rank by item_id.
     """
-    asked = queries.count()
+    asked, total = queries.count(), candidates.count()
     parallel = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(1, math.ceil(candidates.count() / block_rows))
-    slices = max(
-        1,
-        math.ceil(asked / slice_rows),
-        min(math.ceil(asked / CHUNK_ROWS), parallel // blocks),  # enough tiles for every core
-    )
-    # Few bytes but much work per tile: a fixed task count keeps tiles from being merged again.
-    tasks = min(slices * blocks, parallel)
+    scorer = _tile_scorer(n, digits, skip_same)
 
-    def bucket(column: str, count: int):
-        return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
+    def asking(beat: Column) -> list:
+        return ["query_id", "vector", beat.alias("beat"), F.xxhash64("query_id").alias("mix")]
 
-    def every(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    nothing = F.lit(None).cast("double")
+    count = min(MAX_CELLS, max(math.ceil(total / block_rows), min(FINE_CELLS, total // cell_rows)))
+    if asked * total <= direct_pairs and total <= block_rows:
+        count = 1
+    if count <= 1:  # one cell holds all: every query goes there
+        whole = F.lit(0).alias("cell")
+        deal = _Deal.of(np.array([total]), np.array([asked]), slice_rows, block_rows, parallel)
 
-    left = queries.select(
-        bucket("query_id", slices).alias("slice"),
-        every(blocks).alias("block"),
-        "query_id",
-        F.lit(None).cast("long").alias("item_id"),
-        F.col("vector").alias("vector"),  # a column of its own when both sides share a source
-    )
+        def anywhere(vectors, beat):
+            return np.ones((len(vectors), 1), dtype=bool)
+
+        packs = _query_packs(queries.select(*asking(nothing)), anywhere, deal)
+        masked = None if excluded is None else excluded.select(whole, "query_id", "item_id")
+        return _ranked(_scored(packs, _candidate_packs(candidates.select(whole, "item_id", "vector"), deal), masked, deal, scorer), n)
+
+    placed, cells = _in_cells(candidates, count)
+    masked = None
     if excluded is not None:
-        left = left.unionByName(
-            excluded.select(
-                bucket("query_id", slices).alias("slice"),
-                bucket("item_id", blocks).alias("block"),
-                "query_id",
-                "item_id",
-                F.lit(None).cast("array<double>").alias("vector"),
-            )
-        )
-    right = candidates.select(
-        every(slices).alias("slice"),
-        bucket("item_id", blocks).alias("block"),
-        F.col("item_id").alias("item_id"),
-        F.col("vector").alias("vector"),
-    )
-    tiles = (
-        left.repartition(tasks, "slice", "block")
-        .groupBy("slice", "block")
-        .cogroup(right.repartition(tasks, "slice", "block").groupBy("slice", "block"))
-        .applyInPandas(_tile_scorer(n, digits), _TILE_SCHEMA)
-    )
+        masked = pin(excluded.select("query_id", "item_id").join(placed.select("item_id", "cell"), "item_id"))
+
+    def at_home(vectors, beat):
+        return cells.home(cells.bounds(vectors), n)
+
+    def still_open(vectors, beat):
+        bounds = cells.bounds(vectors)
+        reached = bounds if digits is None else np.round(bounds, digits)
+        return (reached >= beat[:, None]) & ~cells.home(bounds, n) & (cells.rows > 0)
+
+    def visit(frame: DataFrame, choose) -> DataFrame:
+        deal = _Deal.of(cells.rows, _visits(frame, choose, len(cells.rows)), slice_rows, block_rows, parallel)
+        return _scored(_query_packs(frame, choose, deal), _candidate_packs(placed, deal), masked, deal, scorer)
+
+    first = pin(visit(queries.select(*asking(nothing)), at_home))
+    scores = first.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("scores"))
+    beat = scores.select("query_id", F.get("scores", F.lit(n - 1)).alias("to_beat"))
+    second = visit(pin(queries.join(beat, "query_id", "left").select(*asking(F.col("to_beat")))), still_open)
+    return _ranked(first.unionByName(second), n)
+
+
+def _ranked(found: DataFrame, n: int) -> DataFrame:
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "item_id"))
-    return tiles.withColumn("rank", place.cast("long")).filter(F.col("rank") <= n)
+    return found.withColumn("rank", place.cast("long")).filter(F.col("rank") <= n)

@@ -110,8 +110,7 @@ def item_similarity_top_n(
     vectors = pin(_unit_vectors(items, features, standardize))
     asked = vectors if only is None else vectors.join(only.select("item_id"), "item_id", "left_semi")
     queries = asked.withColumnRenamed("item_id", "query_id")
-    itself = queries.select("query_id", F.col("query_id").alias("item_id"))
-    best = top_candidates(queries, vectors, n, itself, digits, **tiles)
+    best = top_candidates(queries, vectors, n, digits=digits, skip_same=True, **tiles)
     return best.select(
         F.col("query_id").alias("item_id"),
         F.col("item_id").alias("similar_id"),

@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from affinis.functions import tiles
 from affinis.functions.tiles import top_candidates
 from affinis.operators import recommend, svd
+from affinis.session import pin
 from tests.helpers import as_dict, as_set
 
 
@@ -73,11 +75,11 @@ def test_iterated_factors_of_a_matrix_of_lower_rank(spark):
     assert np.allclose(product(model, 20, 15), matrix, atol=1e-5)
 
 
-@pytest.mark.parametrize("tiles", [{}, {"slice_rows": 7, "block_rows": 5}])
-def test_recommendations_skip_seen_items(spark, matrix, tiles):
+@pytest.mark.parametrize("shape", [{}, {"slice_rows": 7, "block_rows": 5}, {"cell_rows": 4, "direct_pairs": 0}])
+def test_recommendations_skip_seen_items(spark, matrix, shape):
     ratings = ratings_of(spark, matrix)
     model = svd.truncated_svd(ratings, 6)
-    found = recommend.recommend_top_k(model, seen=ratings, n=5, **tiles).collect()
+    found = recommend.recommend_top_k(model, seen=ratings, n=5, **shape).collect()
     scores = product(model, *matrix.shape)
     scores[matrix > 0] = -np.inf
     got = {}
@@ -97,18 +99,81 @@ def test_unknown_user_and_user_who_has_seen_everything(spark):
     assert as_set(recommend.recommend_top_k(model, users, ratings, 5), "user_id", "item_id") == {(2, 2)}
 
 
-@pytest.mark.parametrize("tiles", [{}, {"slice_rows": 2, "block_rows": 3}, {"slice_rows": 100, "block_rows": 1}])
-def test_tiles_rank_ties_by_item(spark, tiles):
+@pytest.mark.parametrize("shape", [{}, {"slice_rows": 2, "block_rows": 3}, {"slice_rows": 100, "block_rows": 1}])
+def test_tiles_rank_ties_by_item(spark, shape):
     queries = spark.createDataFrame([(q, [1.0]) for q in range(5)], "query_id BIGINT, vector ARRAY<DOUBLE>")
     items = spark.createDataFrame(
         [(i, [float(i // 3)]) for i in range(12)], "item_id BIGINT, vector ARRAY<DOUBLE>"
     )
-    found = top_candidates(queries, items, 4, **tiles)
+    found = top_candidates(queries, items, 4, **shape)
     assert as_set(found, "query_id", "item_id", "rank") == {
         (q, i, r) for q in range(5) for r, i in enumerate([9, 10, 11, 6], start=1)
     }
 
 
+def _spread(rng, n, width, centres):
+    """Vectors around a few centres of very different lengths, some of them equal."""
+    middle = rng.normal(size=(centres, width)) * rng.uniform(0.2, 6, (centres, 1))
+    vectors = middle[rng.integers(0, centres, n)] + 0.1 * rng.normal(size=(n, width))
+    vectors[n // 2 : n // 2 + n // 10] = vectors[0]
+    vectors[-1] = 0.0
+    return vectors
+
+
+@pytest.mark.parametrize("digits,unit", [(None, False), (2, False), (6, True)])
+def test_pruning_keeps_every_value_and_sends_less(spark, monkeypatch, digits, unit):
+    """Same rows as all pairs; the candidates sent to tiles fall below half of sending every slice all of them."""
+    rng = np.random.default_rng(21)
+    items, users = _spread(rng, 3000, 6, 40), _spread(rng, 2000, 6, 40)
+    if unit:
+        items, users = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300) for v in (items, users))
+
+    def frame(vectors, key):
+        rows = [(int(i) * 3 + 1, [float(x) for x in v]) for i, v in enumerate(vectors)]
+        return pin(spark.createDataFrame(rows, f"{key} BIGINT, vector ARRAY<DOUBLE>"))
+
+    queries, candidates = frame(users, "query_id"), frame(items, "item_id")
+    hidden = [(int(q) * 3 + 1, int(i) * 3 + 1) for q in range(0, 2000, 7) for i in np.argsort(-(items @ users[q]))[:3]]
+    excluded = spark.createDataFrame(hidden, "query_id BIGINT, item_id BIGINT")
+    sent, plain = [], tiles._tiles
+
+    def spy(left, right, tasks, scorer):
+        counted = F.sum(F.length("ids") / 8).cast("long")
+        sent.append((left.agg(counted).first()[0], right.agg(counted).first()[0]))
+        return plain(left, right, tasks, scorer)
+
+    monkeypatch.setattr(tiles, "_tiles", spy)
+    shape = {"slice_rows": 256, "block_rows": 1000}
+    found = top_candidates(queries, candidates, 5, excluded, digits, cell_rows=50, direct_pairs=0, skip_same=True, **shape)
+    scores = users @ items.T
+    scores = scores if digits is None else np.round(scores, digits)
+    scores[[q // 3 for q, _ in hidden], [i // 3 for _, i in hidden]] = -np.inf
+    np.fill_diagonal(scores, -np.inf)
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :5]
+    got = {(r.query_id, r["rank"]): r for r in found.collect()}
+    assert len(got) == 2000 * 5
+    for q in range(2000):
+        row = [got[3 * q + 1, k + 1] for k in range(5)]
+        assert np.allclose([r.score for r in row], scores[q, best[q]], atol=1e-12)
+        if digits is not None:
+            assert [r.item_id for r in row] == [3 * i + 1 for i in best[q]]
+    assert len(sent) == 2
+    every_slice = -(-2000 // 256) * 3000
+    assert sum(right for _, right in sent) < every_slice / 2
+    assert sum(left for left, _ in sent) < 2000 * 60 / 2  # of all query and cell pairs
+
+
+def test_many_equal_candidates_and_fewer_than_asked_for(spark):
+    items = pin(spark.createDataFrame([(i, [1.0, float(i % 2)]) for i in range(400)], "item_id BIGINT, vector ARRAY<DOUBLE>"))
+    queries = pin(spark.createDataFrame([(q, [1.0, 0.0]) for q in range(3)], "query_id BIGINT, vector ARRAY<DOUBLE>"))
+    shape = {"cell_rows": 20, "direct_pairs": 0, "block_rows": 30}
+    found = top_candidates(queries, items, 4, **shape)
+    assert as_set(found, "query_id", "item_id", "rank") == {(q, i, i + 1) for q in range(3) for i in range(4)}
+    gone = spark.createDataFrame([(0, i) for i in range(398)], "query_id BIGINT, item_id BIGINT")
+    found = top_candidates(queries, items, 4, gone, **shape).filter("query_id = 0")
+    assert as_set(found, "item_id", "rank") == {(398, 1), (399, 2)}
+
+
 def test_cosine_neighbours(spark):
     rng = np.random.default_rng(8)
     values = rng.uniform(0, 3, (25, 3))
