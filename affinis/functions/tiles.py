@@ -58,7 +58,7 @@ def _best(scores: np.ndarray, n: int, digits: int | None) -> tuple[np.ndarray, n
         at, column = np.repeat(np.arange(rows), columns), np.tile(np.arange(columns), rows)
     value = scores[at, column]
     if digits is not None:
-        value = np.round(value, digits)
+        value = np.round(value, digits) + 0.0  # no negative zero
     finite = np.isfinite(value)
     at, column, value = at[finite], column[finite], value[finite]
     order = np.lexsort((column, -value, at))

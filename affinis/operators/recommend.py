@@ -44,10 +44,12 @@ def recommend_top_k(
     users: DataFrame | None = None,
     seen: DataFrame | None = None,
     n: int = 10,
+    digits: int | None = 6,
     **tiles: int,
 ) -> DataFrame:
     """(user_id, item_id, score, rank) by factor product, without items rated above zero.
 
+    Scores are rounded to `digits`, so what differs only by the order in which factors were summed ranks as a tie, by item.
     Users the model does not know get no rows.
     """
     factors = model.user_factors
@@ -59,7 +61,7 @@ def recommend_top_k(
             F.col("user_id").alias("query_id"), "item_id"
         )
     queries = pin(factors.withColumnRenamed("user_id", "query_id"))
-    best = top_candidates(queries, model.item_factors, n, excluded, **tiles)
+    best = top_candidates(queries, model.item_factors, n, excluded, digits, **tiles)
     return best.withColumnRenamed("query_id", "user_id")
 
 

@@ -2,8 +2,12 @@
 
 Up to `gram_limit` items the item Gramian is small by construction and its eigenvectors are exact.
 Beyond that, block power iteration with a few more columns than asked for keeps every factor table
-distributed; only matrices of that column count squared reach the driver. It goes on until no wanted
-singular value moves by more than `tolerance` (relative), so both ways agree to about that much.
+distributed; only matrices of that column count squared reach the driver. It goes on until the residual
+|A v - s u| of every wanted triple is at most `tolerance` times the largest singular value; singular values
+are then right to about the square of that, while a stop on their movement would also end a slow crawl.
+
+Gramians are added up in levels of `FAN` partial matrices, so no task holds more of them, however many tasks
+made them.
 
 Cells of a repeated (user, item) pair add up in both; `latest_by` keeps the last rating instead.
 """
@@ -15,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +29,9 @@ from affinis.session import pin
 
 GRAM_LIMIT = 2_048  # items; a Gramian of at most 32 MiB
 OVERSAMPLE = 10
-TOLERANCE = 1e-9
-MAX_ITERATIONS = 300
+TOLERANCE = 1e-6
+MAX_ITERATIONS = 1_000
+FAN = 64  # partial matrices that one task adds up
 
 
 @dataclass
@@ -57,21 +63,41 @@ def _weighted_sums(cells: DataFrame, vectors: DataFrame, on: str, by: str, width
     )
 
 
-def _summed_matrix(parts: DataFrame, size: int) -> np.ndarray:
-    """Add per-task matrices, given as (i, row), row by row; `size` is small and fixed."""
+def _levels(tasks: int) -> list[int]:
+    """Into how many groups the partial matrices fall, level by level: FAN times fewer each time, down to one."""
+    out = [1]
+    while out[0] * FAN < tasks:
+        out.insert(0, out[0] * FAN)
+    return out
+
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum(np.stack(rows["row"].to_numpy()), axis=0)
-        return pd.DataFrame({"i": rows["i"].iloc[:1].to_numpy(), "row": [total]})
+def _summed_matrix(parts: DataFrame, size: int, tasks: int | None = None) -> np.ndarray:
+    """Add per-task matrices, given as (task, i, row), row by row; `size` is small and fixed."""
 
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(size)
+        for row in rows.sort_values("task")["row"]:
+            total += row
+        return pd.DataFrame({"task": np.array([key[1]], dtype="int32"), "i": np.array([key[0]], dtype="int32"), "row": [total]})
+
+    for groups in _levels(tasks or int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))):
+        parts = (
+            parts.select(F.pmod("task", F.lit(groups)).alias("to"), "task", "i", "row")
+            .groupBy("i", "to")
+            .applyInPandas(add, _ROWS)
+        )
     out = np.zeros((size, size))
-    for record in parts.groupBy("i").applyInPandas(add, "i INT, row ARRAY<DOUBLE>").collect():
+    for record in parts.collect():  # one matrix
         out[record["i"]] = record["row"]
     return (out + out.T) / 2
 
 
+_ROWS = "task INT, i INT, row ARRAY<DOUBLE>"
+
+
 def _as_rows(matrix: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"i": np.arange(len(matrix), dtype="int32"), "row": list(matrix)})
+    task = np.full(len(matrix), TaskContext.get().partitionId(), dtype="int32")
+    return pd.DataFrame({"task": task, "i": np.arange(len(matrix), dtype="int32"), "row": list(matrix)})
 
 
 def _sparse_gramian(cells: DataFrame, items: DataFrame, size: int) -> np.ndarray:
@@ -99,7 +125,7 @@ def _sparse_gramian(cells: DataFrame, items: DataFrame, size: int) -> np.ndarray
                 total += dense.T @ dense
         yield _as_rows(total)
 
-    return _summed_matrix(rows.mapInPandas(partial, "i INT, row ARRAY<DOUBLE>"), size)
+    return _summed_matrix(rows.mapInPandas(partial, _ROWS), size)
 
 
 def _dense_gramian(vectors: DataFrame, size: int) -> np.ndarray:
@@ -113,7 +139,7 @@ def _dense_gramian(vectors: DataFrame, size: int) -> np.ndarray:
                 total += block.T @ block
         yield _as_rows(total)
 
-    parts = vectors.select("vector").mapInPandas(partial, "i INT, row ARRAY<DOUBLE>")
+    parts = vectors.select("vector").mapInPandas(partial, _ROWS)
     return _summed_matrix(parts, size)
 
 
@@ -134,13 +160,6 @@ def _descending(gramian: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.clip(values[::-1], 0.0, None), vectors[:, ::-1]
 
 
-def _orthonormal(vectors: DataFrame, key: str, width: int) -> DataFrame:
-    """Columns made orthonormal through their Gramian; directions without weight are zeroed."""
-    values, basis = _descending(_dense_gramian(vectors, width))
-    weight = np.where(values > values[0] * 1e-13, values, np.inf)
-    return pin(_times(vectors, key, basis / np.sqrt(weight)))
-
-
 def truncated_svd(
     ratings: DataFrame,
     n_components: int = 50,
@@ -190,26 +209,30 @@ def _iterated(
         for j in range(width)
     ]
     of_items = items.select("item_id", F.array(*draws).alias("vector"))
-    before = np.zeros(min(k, width))
+    wanted, sigma, left = min(k, width), None, np.inf
     for _ in range(MAX_ITERATIONS):
         of_users = pin(_weighted_sums(cells, of_items, "item_id", "user_id", width))
-        of_users = _orthonormal(of_users, "user_id", width)
+        gramian = _dense_gramian(of_users, width)
+        if sigma is not None:
+            # The items' columns are orthonormal and s v = A^T u, so |A v - s u|^2 = |A v|^2 - s^2.
+            left = np.sqrt(np.maximum(np.diag(gramian) - sigma**2, 0.0))[:wanted].max()
+            if left <= tolerance * sigma[0]:
+                break
+        values, basis = _descending(gramian)
+        weight = np.where(values > values[0] * 1e-13, values, np.inf)
+        of_users = pin(_times(of_users, "user_id", basis / np.sqrt(weight)))
         of_items = pin(_weighted_sums(cells, of_users, "user_id", "item_id", width))
-        last = of_items
-        values = np.sqrt(_descending(_dense_gramian(last, width))[0][: len(before)])
-        if np.all(np.abs(values - before) <= tolerance * values[0]):
-            break
-        before = values
-        of_items = _orthonormal(of_items, "item_id", width)
+        values, basis = _descending(_dense_gramian(of_items, width))
+        sigma = np.sqrt(values)
+        weight = np.where(values > values[0] * 1e-13, values, np.inf)
+        of_items = pin(_times(of_items, "item_id", basis / np.sqrt(weight)))
     else:
-        raise RuntimeError(f"singular values still moved by more than {tolerance} after {MAX_ITERATIONS} iterations")
-    # last = A^T Q, so its right factors turn it into V S and its Gramian gives S squared.
-    values, turn = _descending(_dense_gramian(last, width))
-    values, turn = values[:k], turn[:, :k]
-    scale = np.where(values > values[0] * 1e-13, 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
-    item_factors = pin(_times(last, "item_id", turn * scale))
-    user_factors = pin(_weighted_sums(cells, item_factors, "item_id", "user_id", len(values)))
-    return SvdModel(user_factors, item_factors, np.sqrt(values))
+        raise RuntimeError(f"a residual of {left / sigma[0]:.1e} of the largest singular value is left after {MAX_ITERATIONS} iterations")
+    # The best triples within the last block: A V turned by the eigenvectors of its Gramian is U S.
+    values, turn = _descending(gramian)
+    item_factors = pin(_times(of_items, "item_id", turn[:, :wanted]))
+    user_factors = pin(_times(of_users, "user_id", turn[:, :wanted]))
+    return SvdModel(user_factors, item_factors, np.sqrt(values[:wanted]))
 
 
 def explained_variance(ratings: DataFrame, model: SvdModel) -> DataFrame:

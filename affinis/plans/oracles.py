@@ -509,6 +509,96 @@ _add(
 
 _add("svd_reconstruction", "ix_clean", "SELECT user_id, item_id, round_even(rating, 6) AS rating FROM ix_clean")
 
+# -- factors ------------------------------------------------------------------------------------------
+# Eigenvectors of the item Gramian, largest first: squaring it 22 times leaves the projection on the leading
+# one, which is then taken out of the Gramian. Components without weight are zero vectors.
+def _powered(matrix: str) -> str:
+    """A query of (c, m, top, q): q is the matrix squared again and again, each time divided by its squared length."""
+    text = f"SELECT c, m, top, m AS q {matrix}"
+    for _ in range(22):
+        text = f"""SELECT c, m, top, list_transform(q, lambda r: list_transform(q, lambda s: list_dot_product(r, s) / size)) AS q
+            FROM (SELECT *, greatest(list_sum(list_transform(q, lambda t: list_dot_product(t, t))), 1e-300) AS size FROM ({text}))"""
+    return text
+
+
+def _factors(source: str, components: int) -> list[str]:
+    """CTEs: `cells`, `its` (item, its place), `eig` (component, value, vector), `u` and `v` (user and item factors)."""
+    return [
+        f"""cells AS MATERIALIZED (SELECT user_id, item_id, sum(rating) AS r FROM {source} WHERE user_id IS NOT NULL AND item_id IS NOT NULL
+            AND rating IS NOT NULL GROUP BY user_id, item_id)""",
+        "its AS MATERIALIZED (SELECT item_id, row_number() OVER (ORDER BY item_id) AS j FROM (SELECT DISTINCT item_id FROM cells))",
+        "gram AS MATERIALIZED (SELECT a.item_id AS x, b.item_id AS y, sum(a.r * b.r) AS g FROM cells a JOIN cells b USING (user_id) GROUP BY ALL)",
+        """gram_rows AS MATERIALIZED (
+            SELECT x.j, list(coalesce(g, 0)::DOUBLE ORDER BY y.j) AS r
+            FROM its x CROSS JOIN its y LEFT JOIN gram ON gram.x = x.item_id AND gram.y = y.item_id GROUP BY x.j)""",
+        "start AS MATERIALIZED (SELECT list(r ORDER BY j) AS m, list_max(list(r[j])) AS top FROM gram_rows)",
+        f"""eig AS (
+            SELECT 0 AS c, m, top, 0::DOUBLE AS value, []::DOUBLE[] AS vector FROM start
+            UNION ALL
+            SELECT c + 1, list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1),
+                     lambda k: m[i][k] - value * vector[i] * vector[k])), top, value, vector
+            FROM (
+              SELECT c, m, top, CASE WHEN weight > 1e-9 * top THEN weight ELSE 0 END AS value,
+                     CASE WHEN weight > 1e-9 * top THEN vector ELSE list_transform(vector, lambda x: 0::DOUBLE) END AS vector
+              FROM (
+                SELECT *, list_dot_product(list_transform(m, lambda r: list_dot_product(r, vector)), vector) AS weight
+                FROM (
+                  SELECT c, m, top, list_transform(col, lambda x: x / greatest(sqrt(list_dot_product(col, col)), 1e-300)) AS vector
+                  FROM (
+                    SELECT c, m, top, q[list_position(list_transform(range(1, len(q) + 1), lambda i: q[i][i]),
+                             list_max(list_transform(range(1, len(q) + 1), lambda i: q[i][i])))] AS col
+                    FROM (
+                      {_powered(f"FROM eig WHERE c < least({components}, len(m))")})))))""" + ")",
+        "v AS MATERIALIZED (SELECT item_id, c, vector[j] AS x FROM eig, its WHERE c > 0)",
+        "u AS MATERIALIZED (SELECT user_id, c, sum(r * x) AS x FROM cells JOIN v USING (item_id) GROUP BY user_id, c)",
+    ]
+
+
+_EXPLAINED = """(SELECT sum(s) FROM (SELECT var_pop(x) AS s FROM u GROUP BY c))
+    / (SELECT sum(q / n - (s / n) * (s / n)) FROM (SELECT sum(r) AS s, sum(r * r) AS q FROM cells GROUP BY item_id),
+         (SELECT count(DISTINCT user_id) AS n FROM cells))"""
+
+
+def _recommended(users: str, seen: str) -> str:
+    return f"""best AS (
+        SELECT user_id, item_id, round_even(score, 6) + 0 AS score,
+               row_number() OVER (PARTITION BY user_id ORDER BY round_even(score, 6) + 0 DESC, item_id) AS rank
+        FROM (SELECT user_id, item_id, sum(u.x * v.x) AS score FROM u JOIN v USING (c) GROUP BY user_id, item_id) p
+        WHERE user_id IN (SELECT user_id FROM {users}) AND NOT EXISTS (
+          SELECT 1 FROM {seen} t WHERE t.user_id = p.user_id AND t.item_id = p.item_id AND t.rating > 0)
+        QUALIFY rank <= 10)"""
+
+
+def _add_factors(name: str, select: str, *ctes: str) -> None:
+    _add(name, "ix_clean", select, *ctes)
+    ORACLES[name] = ORACLES[name].replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_add_factors(
+    "truncated_svd",
+    "SELECT (c - 1)::INT AS component, round_even(sqrt(sum(x * x)), 6) AS singular_value FROM u GROUP BY c",
+    *_factors("ix_clean", 50),
+)
+_add_factors("explained_variance", f"SELECT round_even({_EXPLAINED}, 6) AS explained_variance", *_factors("ix_clean", 50))
+_add_factors("recommend_top_k", "SELECT * FROM best", *_factors("ix_clean", 50), _recommended("cells", "ix_clean"))
+_EVALUATED = [c.replace("JOIN recs r", "JOIN best r") for c in _EVALUATION if not c.startswith(("pool", "recs"))]
+_add_factors(
+    "train_svd_model",
+    f"""SELECT round_even(coalesce({_mean('precision', 1_000_000_000)}, 0), 4) AS precision_at_10,
+               round_even(coalesce({_mean('recall', 1_000_000_000)}, 0), 4) AS recall_at_10,
+               round_even(coalesce({_mean('ndcg', 1_000_000_000)}, 0), 4) AS ndcg_at_10,
+               count(*) AS evaluated_users, round_even({_EXPLAINED}, 4) AS explained_variance,
+               (SELECT round_even(1 - count(*)::DOUBLE / (count(DISTINCT user_id) * count(DISTINCT item_id)::DOUBLE), 4) FROM parts) AS sparsity,
+               (SELECT count(DISTINCT user_id) FROM parts) AS n_users, (SELECT count(DISTINCT user_id) FROM train) AS train_users,
+               (SELECT count(DISTINCT user_id) FROM test) AS test_users, (SELECT count(*) FROM train) AS train_rows,
+               (SELECT count(*) FROM test) AS test_rows, (SELECT count(DISTINCT item_id) FROM parts) AS n_items
+        FROM scores""",
+    *[c.replace(" AS (", " AS MATERIALIZED (", 1) for c in _EVALUATED[:3]],
+    *_factors("train", 50),
+    _recommended("test", "train"),
+    *_EVALUATED[3:],
+)
+
 # -- content similarity ----------------------------------------------------------------------------------
 _CONTENT = ["price_normalized", "category_encoded", "popularity_score", "avg_rating_received", "total_interactions"]
 _NORM = "sqrt(" + " + ".join(f"{c} * {c}" for c in _CONTENT) + ")"

@@ -572,7 +572,7 @@ def svd_reconstruction(spark, sf):
 @query
 def explained_variance(spark, sf):
     clean = pin(ix_clean(spark, sf))
-    return svd.explained_variance(clean, svd.truncated_svd(clean, COMPONENTS))
+    return _rounded(svd.explained_variance(clean, svd.truncated_svd(clean, COMPONENTS)), "explained_variance")
 
 
 @query

@@ -69,6 +69,31 @@ def test_iterated_factors_beyond_the_gramian_limit(spark):
     assert np.allclose(again.singular_values, model.singular_values)
 
 
+def test_iteration_stops_on_the_residual(spark):
+    """Close singular values: movement between iterations is small long before the vectors are right."""
+    rng = np.random.default_rng(12)
+    u, v = np.linalg.qr(rng.normal(size=(40, 20)))[0], np.linalg.qr(rng.normal(size=(20, 20)))[0]
+    s = np.array([10.0, 9.9, 9.8] + [5.0 * 0.9**k for k in range(17)])
+    matrix = (u * s) @ v.T
+    model = svd.truncated_svd(ratings_of(spark, matrix), 3, gram_limit=2, tolerance=1e-7)
+    users = {r.user_id - 100: np.array(r.vector) for r in model.user_factors.collect()}
+    items = {r.item_id - 7: np.array(r.vector) for r in model.item_factors.collect()}
+    us, vs = np.array([users[i] for i in range(40)]), np.array([items[i] for i in range(20)])
+    assert np.allclose(model.singular_values, s[:3], rtol=1e-12)
+    assert np.linalg.norm(matrix @ vs - us, axis=0).max() < 1e-6 and np.linalg.norm(matrix.T @ us - vs * s[:3] ** 2, axis=0).max() < 1e-4
+
+
+def test_matrices_are_added_in_levels(spark):
+    assert svd._levels(1) == svd._levels(64) == [1] and svd._levels(65) == [64, 1] and svd._levels(300_000) == [262_144, 4096, 64, 1]
+    rng = np.random.default_rng(5)
+    parts = rng.normal(size=(200, 3, 3))
+    rows = [(t, i, [float(x) for x in parts[t, i]]) for t in range(200) for i in range(3)]
+    frame = spark.createDataFrame(rows, svd._ROWS)
+    total = parts.sum(axis=0)
+    for tasks in (1, 200, 10_000):
+        assert np.allclose(svd._summed_matrix(frame, 3, tasks), (total + total.T) / 2)
+
+
 def test_iterated_factors_of_a_matrix_of_lower_rank(spark):
     matrix = np.outer(np.arange(1.0, 21), np.arange(1.0, 16))
     model = svd.truncated_svd(ratings_of(spark, matrix), 3, gram_limit=2)

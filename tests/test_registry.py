@@ -13,8 +13,7 @@ PLANNED = [
     "run_suite", "evaluate_recommendations", "eda_summary", "price_box_stats", "active_submatrix",
     "day_hour_density", "item_similarity_top_n", "recommend_top_k", "fs_online_lookup",
 ]
-# Iterative factors have no SQL form; see test_recommend.py for the check against numpy.
-ROWS_ONLY = {"table_checksum_hash64", "truncated_svd", "explained_variance", "recommend_top_k", "train_svd_model"}
+ROWS_ONLY = {"table_checksum_hash64"}
 
 
 @pytest.fixture(scope="module")
