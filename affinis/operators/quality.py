@@ -7,8 +7,9 @@ of a suite share one pass; each uniqueness rule adds one grouping.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +46,22 @@ PRODUCTS_SUITE = [
 ]
 # strftime codes and their Spark pattern letters
 TIME_CODES = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss"}
+# Names of rules and parameters in stored suites.
+STORED_RULES = {
+    "expect_table_row_count_to_be_between": "row_count_between",
+    "expect_table_columns_to_match_set": "columns_superset",
+    "expect_column_values_to_not_be_null": "not_null",
+    "expect_column_values_to_be_between": "between",
+    "expect_column_min_to_be_between": "column_min_between",
+    "expect_column_values_to_be_unique": "unique",
+    "expect_compound_columns_to_be_unique": "compound_unique",
+    "expect_column_values_to_match_strftime_format": "strftime_format",
+    "expect_column_values_to_be_in_set": "in_set",
+}
+STORED_PARAMETERS = {
+    "min_value": "min", "max_value": "max", "column_set": "columns", "column_list": "columns",
+    "strftime_format": "format", "value_set": "values",
+}
 # --- end of fixed values --------------------------------------------------------
 
 RESULT_COLUMNS = [
@@ -53,10 +70,50 @@ RESULT_COLUMNS = [
 ]
 
 
-def load_suite(path: str) -> list[dict]:
-    """A suite from a JSON file: a list of rule dicts as above."""
-    with open(path, encoding="utf-8") as handle:
-        return json.load(handle)
+def load_suite(path: str, optional: Sequence[str] = ()) -> list[dict]:
+    """A suite from a JSON file, read through Spark: a list of rule dicts as above, or a stored suite.
+
+    A stored suite is an object whose `expectations` each have an `expectation_type` and its `kwargs`. It does not say which
+    columns may be absent: `optional` does.
+    """
+    rows = SparkSession.active().read.text(path, wholetext=True).collect()  # one small file
+    if len(rows) != 1:
+        raise ValueError(f"{path} holds {len(rows)} files, not one suite")
+    stored = json.loads(rows[0]["value"])
+    rules = stored if isinstance(stored, list) else [_from_stored(e) for e in stored["expectations"]]
+    return [{**r, "optional": True} if r.get("column") in optional else r for r in rules]
+
+
+def _from_stored(expectation: dict) -> dict:
+    kind, kwargs = expectation["expectation_type"], dict(expectation.get("kwargs", {}))
+    if kind not in STORED_RULES:
+        raise ValueError(f"unknown expectation {kind}")
+    if kwargs.pop("exact_match", False):
+        raise ValueError("a set of columns can only be asked for as a part of all columns")
+    if kwargs.pop("mostly", 1.0) != 1.0:
+        raise ValueError("rules hold for all rows: `mostly` is not supported")
+    # Parameters in one order, as the result lists them.
+    named = {STORED_PARAMETERS.get(k, k): v for k, v in kwargs.items() if v is not None}
+    order = ["column", "columns", "min", "max", "format", "values"]
+    unknown = sorted(set(named) - set(order))
+    if unknown:
+        raise ValueError(f"unknown parameters of {kind}: {unknown}")
+    return {"rule": STORED_RULES[kind], **{k: named[k] for k in order if k in named}}
+
+
+def stored_suite(name: str, suite: list[dict]) -> str:
+    """The stored form of a suite, as JSON text."""
+    kinds = {rule: kind for kind, rule in STORED_RULES.items()}
+    parameters = {"min": "min_value", "max": "max_value", "format": "strftime_format", "values": "value_set"}
+
+    def stored(rule: dict) -> dict:
+        columns = "column_set" if rule["rule"] == "columns_superset" else "column_list"
+        kwargs = {columns if k == "columns" else parameters.get(k, k): v for k, v in rule.items() if k not in ("rule", "optional")}
+        if columns in kwargs and columns == "column_set":
+            kwargs["exact_match"] = False
+        return {"expectation_type": kinds[rule["rule"]], "kwargs": kwargs, "meta": {}}
+
+    return json.dumps({"expectation_suite_name": name, "expectations": [stored(r) for r in suite], "meta": {}})
 
 
 def spark_time_pattern(code: str) -> str:

@@ -23,6 +23,18 @@ def _add(name: str, views: str, select: str, *ctes: str) -> None:
 
 # -- sources and sinks ---------------------------------------------------------------
 _add("scan_interactions", "ix_raw", "SELECT * FROM ix_raw")
+_add(
+    "scan_interactions_by_header",
+    "ix_raw",
+    """SELECT * FROM ix_raw WHERE seq % 3 = 0 UNION ALL
+       SELECT user_id, item_id, rating, timestamp, NULL, seq FROM ix_raw WHERE seq % 3 = 1 UNION ALL
+       SELECT * FROM ix_raw WHERE seq % 3 = 2 AND seq % 2 <> 0 AND rating IS NULL""",
+)
+_add(
+    "reject_counts",
+    "ix_raw",
+    "SELECT 'rating' AS reason, count(*) AS lines FROM ix_raw WHERE seq % 3 = 2 AND (seq % 2 = 0 OR rating IS NOT NULL)",
+)
 _add(
     "scan_products_json",
     "products",
@@ -479,6 +491,7 @@ for _name, _texts in _RULES.items():
     _add(_name, "ix_raw products", f"SELECT * EXCLUDE (position) FROM ({_all})")
 _EVERY = " UNION ALL ".join(t for texts in _RULES.values() for t in texts)
 _add("run_suite", "ix_raw products", _EVERY)
+_add("run_suite_stored", "ix_raw products", _EVERY)
 _add(
     "suite_summary",
     "ix_raw products",
@@ -728,6 +741,14 @@ _CELLS = f"""cells AS (
       AND item_id IN (SELECT item_id FROM ix_orders GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT 80)
     GROUP BY user_id, item_id)"""
 _add("active_submatrix", "ix_orders", "SELECT * FROM cells", _CELLS)
+_add(
+    "submatrix_pivot",
+    "ix_orders",
+    "SELECT user_id, "
+    + ", ".join(f"""coalesce(round_even({_mean(f'(CASE WHEN item_id = {i} THEN rating END)')}, 4), 0) AS "{i}" """ for i in range(1, 41))
+    + """ FROM ix_orders WHERE item_id BETWEEN 1 AND 40
+         AND user_id IN (SELECT user_id FROM ix_orders GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 50) GROUP BY user_id""",
+)
 _add(
     "submatrix_sparsity",
     "ix_orders",

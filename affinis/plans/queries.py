@@ -67,6 +67,31 @@ def scan_interactions(spark, sf):
     return readers.accepted(readers.scan_interactions(spark, path, schema))
 
 
+def _landed_csv(spark, sf):
+    """The raw interactions as CSV files of three shapes: all columns in order, reordered without the event type and with
+    ids written as decimals, and lines that do not fit."""
+    path, raw = scratch_dir(spark, "landed"), ix_raw(spark, sf)
+    schema = T.StructType([*INTERACTIONS_RAW.fields, T.StructField("seq", T.LongType())])
+    kind = F.col("seq") % 3
+    raw.filter(kind == 0).write.option("header", True).csv(f"{path}/a")
+    decimals = [F.concat(F.col(c).cast("string"), F.lit(".0")).alias(c) for c in ("item_id", "user_id")]
+    raw.filter(kind == 1).select("seq", "rating", "timestamp", *decimals).write.option("header", True).csv(f"{path}/b")
+    broken = F.when(F.col("seq") % 2 == 0, F.lit("many")).otherwise(F.concat(F.col("rating").cast("string"), F.lit("x")))
+    odd = raw.filter(kind == 2).select("user_id", "item_id", broken.alias("rating"), "timestamp", "event_type", "seq")
+    odd.write.option("header", True).csv(f"{path}/c")
+    return readers.scan_interactions(spark, f"{path}/*", schema)
+
+
+@query
+def scan_interactions_by_header(spark, sf):
+    return readers.accepted(_landed_csv(spark, sf))
+
+
+@query
+def reject_counts(spark, sf):
+    return readers.reject_counts(_landed_csv(spark, sf))
+
+
 @query
 def scan_products_json(spark, sf):
     """Half of the records land in the nested shape, half in the flat one."""
@@ -500,6 +525,20 @@ def run_suite(spark, sf):
     return _suites(spark, sf).drop("kwargs")
 
 
+@query
+def run_suite_stored(spark, sf):
+    """Both suites written in the stored form, read back and run."""
+    parts = []
+    for dataset, suite, frame, may_lack in (
+        ("interactions", quality.INTERACTIONS_SUITE, ix_raw(spark, sf), ["event_type"]),
+        ("products", quality.PRODUCTS_SUITE, products(spark, sf), []),
+    ):
+        path = scratch_dir(spark, "suite")
+        spark.createDataFrame([(quality.stored_suite(dataset, suite),)], "value STRING").coalesce(1).write.text(path)
+        parts.append(quality.run_suite(frame, dataset, quality.load_suite(path, may_lack)))
+    return parts[0].unionByName(parts[1]).drop("kwargs")
+
+
 @query
 def suite_summary(spark, sf):
     return quality.suite_summary(_suites(spark, sf))
@@ -659,6 +698,14 @@ def submatrix_sparsity(spark, sf):
     return eda.submatrix_sparsity(ix_orders(spark, sf))
 
 
+PIVOTED = range(1, 41)  # items of the heat map
+
+
+@query
+def submatrix_pivot(spark, sf):
+    return eda.submatrix_pivot(ix_orders(spark, sf), PIVOTED)
+
+
 @query
 def day_hour_density(spark, sf):
     return eda.day_hour_density(ix_events(spark, sf))

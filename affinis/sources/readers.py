@@ -2,38 +2,109 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinis.functions.columns import nan_to_null
 from affinis.schemas import INTERACTIONS_RAW
+from affinis.session import pin
+
+CORRUPT, REASON = "_corrupt_record", "_reject_reason"
+REQUIRED = ("user_id", "item_id", "rating", "timestamp")
+MANY_FILES = 100_000  # headers of more files are joined by a shuffle
+MANY_HEADERS = 200  # different first lines of one batch of files
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A field as its column type, null where it does not fit; whole numbers may be written as decimals (`1.0`)."""
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        number = text.try_cast("decimal(38,6)")
+        return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+    return text.try_cast(kind)
 
-CORRUPT = "_corrupt_record"
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """`file` and its first line; only the first blocks of files count."""
+    first = lines.filter(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    return first.select("file", "header")
 
 
 def scan_interactions(
-    spark: SparkSession, path: str, schema: T.StructType = INTERACTIONS_RAW
+    spark: SparkSession, path: str, schema: T.StructType = INTERACTIONS_RAW, required: Sequence[str] = REQUIRED
 ) -> DataFrame:
-    """CSV with a header, typed; lines that do not fit keep their text in `_corrupt_record`."""
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    read = (
-        spark.read.schema(with_corrupt)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", False)
-        .csv(path)
+    """CSV files with headers of their own, typed by column name.
+
+    Every file's first line says where its columns are: their order may differ from file to file, columns beyond `schema` are
+    ignored, and those that a file lacks are null, unless `required`: that is an error. A line whose fields do not fit keeps its text
+    in `_corrupt_record` and what is wrong in `_reject_reason` (see `accepted`, `rejected`). Empty and NaN fields are null. Quoted
+    fields may hold commas but no line ends. The files are read as text twice: once for their headers, once for their rows.
+    """
+    text = spark.read.text(path).select(
+        F.regexp_replace("value", "^\ufeff", "").alias("value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    headers = pin(_headers(text.filter(F.trim("value") != "").withColumn("row", F.monotonically_increasing_id())))
+    shapes = [r["header"] for r in headers.select("header").distinct().orderBy("header").limit(MANY_HEADERS + 1).collect()]
+    if len(shapes) > MANY_HEADERS:
+        raise ValueError(f"more than {MANY_HEADERS} different headers below {path}: the files seem to have none")
+    names = [[n.strip() for n in next(csv.reader([line]))] for line in shapes]
+    for line, found in zip(shapes, names):
+        missing = [c for c in required if c not in found]
+        if missing:
+            raise ValueError(f"a file with the header {line!r} lacks the columns {missing}")
+    few = headers.count() <= MANY_FILES
+    lines = text.join(F.broadcast(headers) if few else headers, "file").filter(
+        (F.trim("value") != "") & ((F.col("start") > 0) | (F.col("value") != F.col("header")))
+    )
+
+    def fields(found: list[str]) -> Column:
+        """The schema's columns as text, and the line itself if it has not as many fields as the header."""
+        ddl = ", ".join(f"c{k} STRING" for k in range(len(found))) + f", {CORRUPT} STRING"
+        parsed = F.from_csv("value", ddl, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+        picked = [
+            (parsed[f"c{found.index(f.name)}"] if f.name in found else F.lit(None).cast("string")).alias(f.name) for f in schema
+        ]
+        return F.struct(*picked, parsed[CORRUPT].alias(CORRUPT))
+
+    choice = None
+    for line, found in zip(shapes, names):
+        is_it = F.col("header") == F.lit(line)
+        choice = F.when(is_it, fields(found)) if choice is None else choice.when(is_it, fields(found))
+    if choice is None:
+        extra = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType()), T.StructField(REASON, T.StringType())])
+        return spark.createDataFrame([], extra)
+    row = lines.select("value", choice.alias("f"))
+    wrong = [
+        F.when(F.col(f"f.{f.name}").isNotNull() & _typed(F.col(f"f.{f.name}"), f.dataType).isNull(), F.lit(f.name)) for f in schema
+    ]
+    reason = F.when(F.col(f"f.{CORRUPT}").isNotNull(), F.lit("fields")).otherwise(F.nullif(F.concat_ws(",", *wrong), F.lit("")))
+    typed = row.select(
+        *[_typed(F.col(f"f.{f.name}"), f.dataType).alias(f.name) for f in schema], "value", reason.alias(REASON)
+    )
+    return nan_to_null(
+        typed.select(*[f.name for f in schema], F.when(F.col(REASON).isNotNull(), F.col("value")).alias(CORRUPT), REASON)
     )
-    return nan_to_null(read)
 
 
 def accepted(read: DataFrame) -> DataFrame:
-    return read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, REASON)
 
 
 def rejected(read: DataFrame) -> DataFrame:
-    return read.filter(F.col(CORRUPT).isNotNull())
+    """Lines that do not fit: the line and the columns at fault (`fields`: not as many fields as the header)."""
+    return read.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, REASON)
+
+
+def reject_counts(read: DataFrame) -> DataFrame:
+    """reason, lines: how many lines were refused for what."""
+    return rejected(read).groupBy(F.col(REASON).alias("reason")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 # Every field is read as text, because sources disagree on shapes.

@@ -73,6 +73,46 @@ def test_suite_from_a_file(spark, tmp_path):
     assert (found["unexpected_count"], json.loads(found["kwargs"])) == (1, {"column": "x", "values": [1, 2]})
 
 
+STORED = {
+    "data_asset_type": None,
+    "expectation_suite_name": "events",
+    "expectations": [
+        {"expectation_type": "expect_table_row_count_to_be_between", "kwargs": {"min_value": 3}, "meta": {}},
+        {"expectation_type": "expect_table_columns_to_match_set", "kwargs": {"column_set": ["x", "y"], "exact_match": False}},
+        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "x", "max_value": 2, "min_value": 1}},
+        {"expectation_type": "expect_compound_columns_to_be_unique", "kwargs": {"column_list": ["x", "y"]}},
+        {"expectation_type": "expect_column_values_to_be_in_set", "kwargs": {"column": "z", "value_set": ["a"]}},
+    ],
+}
+
+
+def test_stored_suite(spark, tmp_path):
+    path = tmp_path / "suite.json"
+    path.write_text(json.dumps(STORED, indent=2))
+    df = spark.createDataFrame([(1, "a"), (3, "b"), (3, "b")], "x BIGINT, y STRING")
+    status = as_dict(quality.run_suite(df, "d", quality.load_suite(str(path), optional=["z"])), "position", "status")
+    assert status == {1: "PASS", 2: "PASS", 3: "FAIL", 4: "FAIL", 5: "SKIPPED"}
+    assert as_dict(quality.run_suite(df, "d", quality.load_suite(str(path))), "position", "status")[5] == "FAIL"
+
+
+@pytest.mark.parametrize("suite", [quality.INTERACTIONS_SUITE, quality.PRODUCTS_SUITE])
+def test_suites_survive_storing(spark, tmp_path, suite):
+    (tmp_path / "s.json").write_text(quality.stored_suite("s", suite))
+    optional = [r["column"] for r in suite if r.get("optional")]
+    loaded = quality.load_suite(str(tmp_path / "s.json"), optional)
+    assert [r for r in loaded if r["rule"] != "between"] == [r for r in suite if r["rule"] != "between"] and len(loaded) == len(suite)
+
+
+@pytest.mark.parametrize(
+    "change", [{"expectation_type": "expect_magic"}, {"kwargs": {"column": "x", "mostly": 0.9}}, {"kwargs": {"column": "x", "odd": 1}}]
+)
+def test_what_a_stored_suite_cannot_say(spark, tmp_path, change):
+    stored = {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "x"}, **change}
+    (tmp_path / "s.json").write_text(json.dumps({"expectations": [stored]}))
+    with pytest.raises(ValueError):
+        quality.load_suite(str(tmp_path / "s.json"))
+
+
 def test_unknown_rule(spark):
     with pytest.raises(ValueError):
         quality.expectation(spark.range(1), "d", {"rule": "nope", "column": "id"})

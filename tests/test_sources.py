@@ -21,6 +21,29 @@ def test_csv_keeps_lines_that_do_not_fit_apart(spark, tmp_path):
     assert [r[readers.CORRUPT] for r in readers.rejected(read).collect()] == ["x,2,3.5,2024-01-01 00:00:00,view"]
 
 
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("user_id,item_id,rating,timestamp,event_type\n1,2,3.5,t1,view\n1,2\n,7,nan,,\n")
+    (tmp_path / "b.csv").write_bytes(
+        b"\xef\xbb\xbfrating, item_id,timestamp,user_id,note\r\n4.0,3.0,\"t, 2\",5.0,x\r\n\r\n4.0,3.5,t,5,x\r\n9,1e3,t3,6,\r\n"
+    )
+    (tmp_path / "c.csv").write_text("user_id,item_id,rating,timestamp\n")
+    read = readers.scan_interactions(spark, str(tmp_path))
+    assert as_set(readers.accepted(read)) == {
+        (1, 2, 3.5, "t1", "view"), (None, 7, None, None, None), (5, 3, 4.0, "t, 2", None), (6, 1000, 9.0, "t3", None),
+    }
+    assert as_set(readers.rejected(read)) == {("1,2", "fields"), ("4.0,3.5,t,5,x", "item_id")}
+    assert readers.rejected(read).count() == 2  # without reading the columns
+    assert as_set(readers.reject_counts(read)) == {("fields", 1), ("item_id", 1)}
+
+
+def test_a_header_without_required_columns_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("user_id,item_id,rating\n1,2,3.5\n")
+    with pytest.raises(ValueError, match="timestamp"):
+        readers.scan_interactions(spark, str(tmp_path))
+    (tmp_path / "a.csv").write_text("")
+    assert readers.accepted(readers.scan_interactions(spark, str(tmp_path))).collect() == []
+
+
 def test_json_array_of_mixed_shapes(spark, tmp_path):
     (tmp_path / "p.json").write_text(
         json.dumps(
