@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.columns import MICRO, as_timestamp, fixed_point, half_even, stable_mean
+from affinis.functions.columns import as_timestamp, half_even, stable_mean
 from affinis.functions.ordering import HOT_ROWS, quantiles, with_position
 from affinis.session import pin
 
@@ -242,7 +242,7 @@ def eda_summary(df: DataFrame, products: DataFrame) -> DataFrame:
 
     x, n = F.col("rating"), F.col("count")
     rated = F.sum(F.when(x.isNotNull(), n)).cast("double")
-    mean = F.try_divide(F.sum(fixed_point(x) * n).cast("double"), rated * F.lit(float(MICRO)))
+    mean = stable_mean(x, n)
     totals = (
         ratings.agg(
             F.sum(n).alias("n_interactions"),

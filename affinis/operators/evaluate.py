@@ -7,9 +7,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.columns import half_even, stable_mean
+from affinis.functions.columns import grid_mean, half_even
 
-# Metric values are averaged in whole billionths, see `stable_mean`.
+# Metric values are averaged in whole billionths, see `grid_mean`.
 METRIC_SCALE = 1_000_000_000
 RELEVANT_RATING = 3.0  # fixed value
 
@@ -87,7 +87,7 @@ def evaluate_recommendations(
         truth = truth.join(users.select("user_id").distinct(), "user_id", "left_semi")
     means = {
         f"{name}_at_{k}": half_even(
-            F.coalesce(stable_mean(F.col(name), METRIC_SCALE), F.lit(0.0)), 4
+            F.coalesce(grid_mean(F.col(name), METRIC_SCALE), F.lit(0.0)), 4
         )
         for name in ("precision", "recall", "ndcg")
     }

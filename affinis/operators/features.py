@@ -12,6 +12,7 @@ from affinis.functions.columns import (
     as_timestamp,
     fixed_point,
     half_even,
+    is_fixed_point,
     moment,
     stable_mean,
     time_text,
@@ -175,12 +176,17 @@ def user_rating_gap(df: DataFrame) -> DataFrame:
         df.filter(F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(
-            F.sum(fixed_point(F.col("rating"))).alias("_sum"),
+            F.try_sum(F.when(is_fixed_point(F.col("rating")), fixed_point(F.col("rating")))).alias("_sum"),
+            F.count_if(~is_fixed_point(F.col("rating"))).alias("_other"),
+            stable_mean(F.col("rating")).alias("_mean"),
             F.count("rating").alias("_rated"),
         )
     )
     numerator = fixed_point(F.col("rating")) * F.col("_rated") - F.col("_sum")
-    gap = numerator.cast("double") / (F.col("_rated") * F.lit(float(MICRO)))
+    # Decimals are subtracted as whole millionths, so the gap has no rounding error of its own.
+    gap = F.when(F.col("_other") == 0, numerator.cast("double") / (F.col("_rated") * F.lit(float(MICRO)))).otherwise(
+        F.col("rating") - F.col("_mean")
+    )
     return (
         df.join(sums, "user_id", "left")
         .withColumn("user_item_gap", half_even(F.when(F.col("_rated") > 0, gap), 4))
