@@ -162,7 +162,7 @@ def _answer(table: pa.Table) -> pa.Table:
     known, where = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(where, weights=np.concatenate(counts), minlength=len(known)).astype(np.int64)
     ends = np.cumsum([len(k) for k in keys])
-    rows = [(kind, u, bucket, _zip(x.astype(np.uint32)), 0, 0) for u, x in zip(units, np.split(total[where], ends[:-1]))]
+    rows = [(kind, u, bucket, _zip(x), 0, 0) for u, x in zip(units, np.split(total[where], ends[:-1]))]  # totals outgrow 32 bits
     rows.append((kind, -1, bucket, b"", int(total.sum()), int((total > 0).sum())))
     kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["kind", "unit", "bucket", "counts", "n", "v"])
@@ -225,13 +225,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         lengths = _unzip(unit["lengths"], np.uint32).astype(np.int64)
         found = {WORDS: [], PAIRS: []}
         for row in sorted(right.to_pylist(), key=lambda r: r["bucket"]):
-            found[row["kind"]].append(_unzip(row["counts"], np.uint32))
+            found[row["kind"]].append(_unzip(row["counts"], np.int64))
         c1 = np.concatenate(found[WORDS])
         of_end = int(c1[np.searchsorted(known, END)])
-        c1 = c1[tokens].astype(np.int64)
+        c1 = c1[tokens]
         keys = _pair_keys(known, tokens, lengths, buckets)
         _, where = np.unique(keys, return_inverse=True)
-        c2 = np.concatenate(found[PAIRS])[where].astype(np.int64)
+        c2 = np.concatenate(found[PAIRS])[where]
         train = np.repeat([not held_out(i) for i in unit["doc_ids"]], lengths)
         cv = _before(c1, lengths, of_end)
         left_v, left_1, left_2 = cv[train] - 1, c1[train] - 1, c2[train] - 1
@@ -239,7 +239,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         p2 = np.where(left_v > 0, left_2 / np.maximum(left_v, 1), 0.0)
         cells, n = np.unique((_context_bucket(left_v) * P_BINS + _bins(p1)) * P_BINS + _bins(np.clip(p2, 0, 1)), return_counts=True)
         kinds = (pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
-        row = (unit["doc_ids"], _zip(lengths.astype(np.uint32)), _zip(c1.astype(np.uint32)), _zip(c2.astype(np.uint32)), of_end, _zip(cells), _zip(n))
+        row = (unit["doc_ids"], _zip(lengths.astype(np.uint32)), _zip(c1), _zip(c2), of_end, _zip(cells), _zip(n))
         return pa.Table.from_arrays([pa.array([c], k) for c, k in zip(row, kinds)], ["doc_ids", "lengths", "c1", "c2", "of_end", "cells", "n"])
 
     looked = pin(
@@ -263,7 +263,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for batch in batches:
             for unit in batch.to_pylist():
                 lengths = _unzip(unit["lengths"], np.uint32).astype(np.int64)
-                c1, c2 = (_unzip(unit[c], np.uint32).astype(np.float64) for c in ("c1", "c2"))
+                c1, c2 = (_unzip(unit[c], np.int64).astype(np.float64) for c in ("c1", "c2"))
                 cv = _before(c1, lengths, unit["of_end"])
                 w = weights[_context_bucket(cv)]
                 p = w[:, 0] * p0 + w[:, 1] * (c1 / max(1, n_train)) + w[:, 2] * np.where(cv > 0, c2 / np.maximum(cv, 1), 0.0)

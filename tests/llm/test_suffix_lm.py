@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from affinis.llm import interpolated_lm, suffix_dedup
@@ -122,3 +123,21 @@ def test_weights_are_distributions():
     cells = np.array([(3 * 320 + 50) * 320 + 10, (3 * 320 + 60) * 320 + 0, 40 * 320])
     w = interpolated_lm.learn_weights(cells, np.array([90.0, 10.0, 5.0]), 1e-4)
     assert np.allclose(w.sum(axis=1), 1) and (w >= 0).all() and w[3, 2] > 0.8 and w[0, 2] == 0
+
+
+def test_totals_beyond_32_bits():
+    keys = np.array([5, 9, 2**63 + 1], dtype=np.uint64)
+    most = np.array([2**32 - 1, 0, 7], dtype=np.uint32)
+    asked = pa.table(
+        {
+            "kind": [0, 0, 0],
+            "unit": [1, 2, 3],
+            "bucket": [0, 0, 0],
+            "keys": [interpolated_lm._gaps(keys)] * 3,
+            "counts": [interpolated_lm._zip(most)] * 3,
+        }
+    )
+    found = interpolated_lm._answer(asked).to_pylist()
+    for row in found[:3]:
+        assert interpolated_lm._unzip(row["counts"], np.int64).tolist() == [3 * (2**32 - 1), 0, 21]
+    assert (found[3]["unit"], found[3]["n"], found[3]["v"]) == (-1, 3 * (2**32 - 1) + 21, 2)
