@@ -309,8 +309,12 @@ def _scored(query_packs: DataFrame, candidate_packs: DataFrame, masked: DataFram
         "vectors",
     )
     if masked is not None:
+        if len(deal.blocks) == 1:  # a join on one known cell would have no key
+            placed = masked.withColumns({"blocks": F.lit(int(deal.blocks[0])), "parts": F.lit(max(1, int(deal.parts[0])))})
+        else:
+            placed = masked.join(dealt, "cell")
         left = left.unionByName(
-            masked.join(dealt, "cell").select(
+            placed.select(
                 "cell",
                 F.pmod(F.xxhash64("item_id"), "blocks").cast("int").alias("block"),
                 F.pmod(F.xxhash64("query_id"), "parts").cast("int").alias("part"),
