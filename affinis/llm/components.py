@@ -13,7 +13,7 @@ def _state(edges: DataFrame):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (smallest node of its component) for every node of the edges (u, v) but the roots themselves.
+    """node, root (smallest node of its component) for every node of the edges (u, v) but the roots themselves; `unpin` removes it.
 
     Each round hangs all larger neighbours of a node on its smallest one, then all smaller ones; the number of edges
     never grows, a hub is a join key that Spark may split, and nothing but two sums a round reaches the driver.
@@ -34,4 +34,6 @@ def components(edges: DataFrame) -> DataFrame:
         state = _state(now)
         if state == before:
             break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots._pinned_at = now._pinned_at
+    return roots

@@ -6,13 +6,15 @@ Almost all pairs of documents are at distance 1, where pivots tell nothing. So t
 common shingle among the rarest of either document (the shortest prefix that any set within EPS must meet), and a
 block holds the documents that share one. Inside the blocks the metric method runs:
 
-1. Every block has a pivot (its smallest set hash, a random member). A document belongs to the Voronoi region of the pivot
-   with which it shares most blocks; its exact distance to that pivot is taken, and it links to a pivot within EPS.
-2. Links are contracted to components. Blocks inside one component are done; the rest are joined again with another pivot.
+1. Every block has a pivot (a random member). A document belongs to the Voronoi region of the pivot with which it shares
+   most blocks; its exact distance to that pivot is taken, and it links to a pivot within EPS.
+2. Links are contracted to components. Blocks inside one component are done. In the others every member is paired with the
+   nearest member (by a bound of the distance) of another component, and links are contracted again, as long as many of these
+   pairs are links; a group of near copies of any size becomes one component with about as many tests as it has members.
 3. What is left is joined block by block: pairs of different components, in cells of bounded size (a block of m
-   documents is dealt over m / CELL parts, and each pair of parts is a cell). Regions do not deal the pairs. The triangle inequality rules out pairs with a common
-   pivot whose distances to it differ by more than EPS, sizes and a parity signature bound the rest, and what passes is
-   verified on the whole sets.
+   documents is dealt over m / CELL parts, and each pair of parts is a cell). Regions do not deal the pairs. The triangle
+   inequality keeps pairs with a common pivot in windows of width EPS around their distances to it, sizes and a parity
+   signature bound the rest, and what passes is verified on the whole sets.
 
 No pair is lost: one within EPS shares a block, and stays in it until both are in one component or the pair itself was tested.
 Copies with equal sets are one node. Which shingles count as rare is told by lists of bounded size (repeated shingles, and used words:
@@ -25,6 +27,7 @@ smallest; rows with one id but different texts are different sets; an empty tabl
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +42,9 @@ from affinis.llm.textscan import column_bytes, mix, word_hashes
 from affinis.session import drop_folder, pin, release_shuffles, scratch_dir, unpin
 
 WORDS, PERCENT = 5, 80
-UNIT, CELL, FREQUENT = 16 << 20, 192, 1 << 17
+UNIT, CELL, CHUNK, FREQUENT = 16 << 20, 1024, 1 << 18, 1 << 17
 SIGNATURE = 8  # longs
 STEP = np.uint64(0x9FB21C651E98DF25)
-NODE = "node binary, n long"
 
 
 def _listed(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -234,30 +236,47 @@ def _blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, kept
 
 
+def _pivots(blocks: DataFrame) -> DataFrame:
+    """node, pivot: the pivot with which a node shares most blocks, and so its region; the pivot of a block is a random member."""
+    order = F.struct(F.xxhash64("node").alias("draw"), "node")
+    drawn = blocks.groupBy("shingle").agg(F.min(order).alias("p")).select("shingle", F.col("p.node").alias("pivot"))
+    votes = blocks.join(drawn, "shingle").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("votes"))
+    return votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).alias("b")).select("node", F.col("b.pivot").alias("pivot"))
+
+
 def _sets(docs: DataFrame, members: DataFrame, blocks: DataFrame) -> DataFrame:
-    """node, n, shingles (sorted, packed), signature of the nodes in blocks; one document each is read again."""
+    """node, pivot, is_pivot, n, shingles (sorted, packed), signature of the nodes in blocks; one document each is read again."""
+    regions = pin(_pivots(blocks))
+    used = regions.select(F.col("pivot").alias("node"), F.lit(True).alias("is_pivot")).distinct()
     first = members.groupBy("node").agg(F.min(F.struct("key_id", "key_mark")).alias("k"))
-    wanted = blocks.select("node").distinct().join(first, "node").select("k.key_id", "k.key_mark")
+    wanted = (
+        blocks.select("node").distinct().join(first, "node").join(regions, "node", "left").join(used, "node", "left")
+        .select("k.key_id", "k.key_mark", "pivot", F.coalesce("is_pivot", F.lit(False)).alias("is_pivot"))
+    )
 
     def run(batches):
-        for _, texts, _ in _batches(batches, 0):
+        for lo, texts, batch in _batches(batches, 0):
             sets = shingle_sets(texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([node_of(s) for s in sets], pa.binary()),
+                    *(batch.column(c).slice(lo, len(texts)) for c in (1, 2)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_gaps(s) if len(s) else b"" for s in sets], pa.binary()),
                     pa.array([signature(s).tobytes() for s in sets], pa.binary()),
                 ],
-                ["node", "n", "shingles", "signature"],
+                ["node", "pivot", "is_pivot", "n", "shingles", "signature"],
             )
 
-    texts = docs.join(wanted, ["key_id", "key_mark"]).select("text")
-    return pin(texts.mapInArrow(run, f"{NODE}, shingles binary, signature binary"))
+    # Rows with equal id and text are one document; one of them is read.
+    texts = docs.join(wanted, ["key_id", "key_mark"]).select("text", "pivot", "is_pivot")
+    sets = pin(texts.mapInArrow(run, "node binary, pivot binary, is_pivot boolean, n long, shingles binary, signature binary"))
+    unpin(regions)
+    return sets
 
 
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v, common, total (sizes of intersection and union) of distinct pairs; sizes that rule a link out are not sent."""
+def _measured(joined: DataFrame) -> DataFrame:
+    """u, v, common, total (sizes of intersection and union) of rows u, v, a, b with packed sets a and b."""
 
     def run(batches):
         for batch in batches:
@@ -271,81 +290,133 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 total.append(len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(total, pa.int64())], ["u", "v", "common", "total"])
 
-    side = lambda c, s: sets.select(F.col("node").alias(c), F.col("shingles").alias(s))
-    joined = pairs.select("u", "v").join(side("u", "a"), "u").join(side("v", "b"), "v").select("u", "v", "a", "b")
-    return joined.mapInArrow(run, "u binary, v binary, common long, total long")
+    return joined.select("u", "v", "a", "b").mapInArrow(run, "u binary, v binary, common long, total long")
+
+
+def _to_pivots(sets: DataFrame) -> DataFrame:
+    """The exact distance of every node to the pivot of its region; each set is sent once, to its pivot."""
+    own = sets.where("pivot IS NOT NULL").select(F.col("node").alias("u"), F.col("pivot").alias("v"), F.col("shingles").alias("a"))
+    return _measured(own.join(sets.where("is_pivot").select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v"))
+
+
+def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The exact distances of written pairs; only sets of theirs are sent."""
+    side = lambda c, s: (
+        sets.join(pairs.select(F.col(c).alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias(c), F.col("shingles").alias(s))
+    )
+    return _measured(pairs.select("u", "v").join(side("u", "a"), "u").join(side("v", "b"), "v"))
 
 
 def _cells(blocks: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (u, v) of different components that share an open block and that no bound rules out, each once."""
+    """Rows of the open blocks, dealt to cells of bounded size so that any two members of a block meet in one of them."""
     sizes = blocks.groupBy("shingle").agg(F.count("*").alias("m"))
-    own = blocks.groupBy("node").agg(F.sort_array(F.collect_set("shingle")).alias("open"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("m") / CELL)).cast("int")
     rows = (
         blocks.join(sizes, "shingle")
-        .join(own, "node")
         .join(sets.select("node", "signature"), "node")
         .join(known, "node", "left")
-        .withColumn("parts", parts)
+        .withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("m") / CELL)).cast("int"))
         .withColumn("part", F.pmod(F.xxhash64("node", "shingle"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
             "shingle", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part",
-            "node", "n", "root", "signature", "open", "pivot", "near",
+            "node", "n", "root", "signature", F.coalesce("pivot", "node").alias("pivot"), F.coalesce("near", F.lit(0.0)).alias("near"),
         )
     )
-    dealt = rows.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
-
-    def join(rows):
-        n, part = np.array([r["n"] for r in rows]), np.array([r["part"] for r in rows])
-        roots = np.unique([r["root"] for r in rows], return_inverse=True)[1]
-        pivots = np.unique([r["pivot"] or b"" for r in rows], return_inverse=True)[1]
-        near = np.array([np.nan if r["near"] is None else r["near"] for r in rows])
-        has = np.array([r["pivot"] is not None for r in rows])
-        sig = np.frombuffer(b"".join(r["signature"] for r in rows), dtype=np.uint64).reshape(len(rows), SIGNATURE)
-        i, j = rows[0]["i"], rows[0]["j"]
-        for a, r in enumerate(rows):
-            if i != j and part[a] != i:
-                continue
-            b = np.flatnonzero((roots != roots[a]) & ((part == j) if i != j else (np.arange(len(rows)) > a)))
-            b = b[100 * np.minimum(n[b], n[a]) >= PERCENT * np.maximum(n[b], n[a])]
-            with np.errstate(invalid="ignore"):
-                far = has[a] & has[b] & (pivots[b] == pivots[a]) & (np.abs(near[b] - near[a]) > 1 - PERCENT / 100 + 1e-9)
-            b = b[~far]
-            apart = np.bitwise_count(sig[b] ^ sig[a]).sum(axis=1)
-            b = b[(100 + PERCENT) * apart <= (100 - PERCENT) * (n[b] + n[a])]
-            for k in b:
-                # A pair that shares several open blocks is tested in the first of them.
-                both = [x["open"].slice(x["row"], 1).flatten().to_numpy() for x in (r, rows[k])]
-                if np.intersect1d(*both)[0] == r["shingle"]:
-                    yield (r["node"], rows[k]["node"])
+    return rows.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "part")
+
+
+def _partners(table: pa.Table):
+    """(a, b, apart): rows of whole cells whose sets no bound keeps from a link, in bounded chunks; apart is a bound of their distance."""
+    shingle, i, j, part, n = (table[c].to_numpy() for c in ("shingle", "i", "j", "part", "n"))
+    near, (root, pivot) = table["near"].to_numpy(), (_longs(table[c], 2) for c in ("root", "pivot"))
+    sig, rows = _longs(table["signature"], SIGNATURE), np.arange(len(n))
+    fresh_cell = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+    starts = np.flatnonzero(fresh_cell)
+    cell = np.cumsum(fresh_cell) - 1
+    ends = np.append(starts[1:], len(n))[cell]
+    # A cell of two parts holds the first part's rows before the second's.
+    first = np.add.reduceat((part == i).astype(np.int64), starts)[cell]
+    begin = np.where(i == j, rows + 1, np.where(part == i, starts[cell] + first, ends))
+    counts = ends - begin
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    lo = 0
+    while lo < len(n):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + CHUNK, side="right")) - 1)
+        a = np.repeat(rows[lo:hi], counts[lo:hi])
+        b = np.arange(len(a)) - np.repeat(upto[lo:hi] - upto[lo], counts[lo:hi]) + begin[a]
+        lo = hi
+        for test in (
+            lambda a, b: (root[a] != root[b]).any(axis=1),
+            lambda a, b: 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b]),
+            # Windows around a common pivot; a member without one is its own.
+            lambda a, b: (pivot[a] != pivot[b]).any(axis=1) | (np.abs(near[a] - near[b]) <= 1 - PERCENT / 100 + 1e-9),
+        ):
+            good = test(a, b)
+            a, b = a[good], b[good]
+        apart = np.bitwise_count(sig[a] ^ sig[b]).sum(axis=1, dtype=np.int64)
+        good = (100 + PERCENT) * apart <= (100 - PERCENT) * (n[a] + n[b])
+        yield a[good], b[good], apart[good] / (n[a[good]] + n[b[good]])
+
+
+def _longs(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, width)
+
+
+def _whole_cells(batches):
+    """Tables that hold each cell whole."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        last = [batch.column(c)[-1].as_py() if batch.num_rows else None for c in ("shingle", "i", "j")]
+        first = [held[0].column(c)[0].as_py() if held[0].num_rows else None for c in ("shingle", "i", "j")]
+        if batch.num_rows and last != first:
+            table = pa.Table.from_batches(held)
+            same = np.logical_and.reduce([table[c].to_numpy() == v for c, v in zip(("shingle", "i", "j"), last)])
+            cut = int(np.argmax(same))
+            yield table.slice(0, cut)
+            held = table.slice(cut).combine_chunks().to_batches()
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)
+
+
+def _nearest(cells: DataFrame) -> DataFrame:
+    """Pairs (u, v): every open node with the nearest member, by signature, of another component in its cells."""
 
     def run(batches):
-        held, key = [], None
-        for batch in batches:
-            out, open_ = [], batch.column("open")
-            # The lists stay in Arrow; few pairs need them.
-            for k, r in enumerate(batch.drop_columns(["open"]).to_pylist()):
-                r["open"], r["row"] = open_, k
-                if (now := (r["shingle"], r["i"], r["j"])) != key:
-                    out += join(held) if held else []
-                    held, key = [], now
-                held.append(r)
-            yield _pairs(out)
-        if held:
-            yield _pairs(list(join(held)))
+        for table in _whole_cells(batches):
+            node, best = table["node"].combine_chunks(), []
+            for a, b, apart in _partners(table):
+                both = [np.concatenate(x) for x in ((a, b), (b, a), (apart, apart))]
+                order = np.lexsort((both[2], both[0]))
+                own, at = np.unique(both[0][order], return_index=True)
+                best.append((own, both[1][order][at], both[2][order][at]))
+            own, other, apart = (np.concatenate(x) for x in zip(*best))
+            yield pa.RecordBatch.from_arrays([node.take(own), node.take(other), pa.array(apart)], ["u", "v", "apart"])
+
+    found = cells.mapInArrow(run, "u binary, v binary, apart double")
+    nearest = found.groupBy("u").agg(F.min(F.struct("apart", "v")).alias("b")).select("u", F.col("b.v").alias("v"))
+    return _sides(nearest).distinct()
+
+
+def _all_pairs(cells: DataFrame) -> DataFrame:
+    """Pairs (u, v) of different components that share an open block and that no bound rules out, each once."""
+
+    def run(batches):
+        for table in _whole_cells(batches):
+            node = table["node"].combine_chunks()
+            for a, b, _ in _partners(table):
+                yield pa.RecordBatch.from_arrays([node.take(a), node.take(b)], ["u", "v"])
 
-    return dealt.mapInArrow(run, "u binary, v binary").distinct()
+    return _sides(cells.mapInArrow(run, "u binary, v binary")).distinct()
 
 
-def _pairs(out) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], ["u", "v"])
+def _sides(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
 def _open(blocks: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
     """Blocks with their members' current roots, without those inside one component and those of one pair that was tested."""
-    now = blocks.select("shingle", "node", "n").join(roots, "node", "left")
-    now = now.withColumn("root", F.coalesce("root", "node"))
+    now = blocks.select("shingle", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     spread = now.groupBy("shingle").agg(
         (F.min("root") != F.max("root")).alias("mixed"), F.count("*").alias("m"), F.min("node").alias("lo"), F.max("node").alias("hi")
     )
@@ -354,46 +425,55 @@ def _open(blocks: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
     return pin(now.join(spread.select("shingle"), "shingle"))
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members: key_id, key_mark, doc_id, node, n; roots: node, root of every node that links with another)."""
     keyed = docs.select(
         *row_key(F.col(id_col), F.col(text_col)), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
     )
     spark = docs.sparkSession
+    linked = F.col("common") * 100 >= F.col("total") * PERCENT
     members, blocks = _blocks(keyed)
     release_shuffles(spark)
     sets = _sets(keyed, members, blocks)
     release_shuffles(spark)
-    linked = F.col("common") * 100 >= F.col("total") * PERCENT
-    links = spark.createDataFrame([], "u binary, v binary")
-    known = spark.createDataFrame([], "node binary, pivot binary, near double")
-    roots = spark.createDataFrame([], "node binary, root binary")
-    tested = links
-    left = _open(blocks, roots, tested)
-    for turn in range(rounds):
-        # The pivot of a block: a random member, another in every round, not of the block's first component alone.
-        order = F.struct(F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "root")
-        pivots = left.groupBy("shingle").agg(F.min(order).alias("p")).select("shingle", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
-        votes = (
-            left.join(pivots, "shingle")
-            .where("root <> pivot_root")
-            .groupBy("node", "pivot")
-            .agg(F.count("*").alias("votes"))
-        )
-        best = votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).alias("b")).select(F.col("node").alias("u"), F.col("b.pivot").alias("v"))
-        found = pin(_distances(best, sets))
-        tested = tested.unionByName(found.select("u", "v"))
-        links = pin(links.unionByName(found.where(linked).select("u", "v")))
-        if turn == 0:
-            known = found.select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("near"))
-        roots = components(links)
-        left = _open(left, roots, tested)
+
+    def contract(roots: DataFrame | None, measured: DataFrame) -> DataFrame:
+        """Roots after the links among measured pairs."""
+        edges = measured.where(linked).select("u", "v")
+        if roots is not None:
+            edges = edges.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        after = components(edges)
+        if roots is not None:
+            unpin(roots)
+        return after
+
+    tested = [pin(_to_pivots(sets))]
+    release_shuffles(spark)
+    known = tested[0].select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("near"))
+    roots = contract(None, tested[0])
+    left = _open(blocks, roots, tested[0])
+    unpin(blocks)
+    # Nearest members are linked as long as a quarter of the pairs tested are links; so a group of near copies is contracted
+    # by about as many pairs as it has members, before all pairs of different components are asked for.
+    linking = True
+    while linking:
+        pairs = pin(_nearest(_cells(left, known, sets)))
+        release_shuffles(spark)
+        tested.append(pin(_distances(pairs, sets)))
         release_shuffles(spark)
-    pairs = pin(_cells(left, known, sets))
+        roots = contract(roots, tested[-1])
+        before, left = left, _open(left, roots, tested[-1])
+        unpin(before, pairs)
+        tries, hits = tested[-1].agg(F.count("*"), F.count_if(linked)).first()
+        linking = 4 * hits > tries
+    done = _sides(reduce(DataFrame.unionByName, [t.select("u", "v") for t in tested])).distinct()
+    pairs = pin(_all_pairs(_cells(left, known, sets)).join(done, ["u", "v"], "left_anti"))
+    release_shuffles(spark)
+    more = pin(_distances(pairs, sets))
+    roots = contract(roots, more)
+    unpin(sets, pairs, more, left, *tested)
     release_shuffles(spark)
-    more = pin(_distances(pairs, sets).where(linked).select("u", "v"))
-    old = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
-    return members, components(old.unionByName(more))
+    return members, roots
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

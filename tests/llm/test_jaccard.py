@@ -63,25 +63,45 @@ def groups():
     return rows
 
 
-@pytest.mark.parametrize("cell, rounds", [(jaccard_regions.CELL, 2), (16, 1), (16, 0)])
-def test_components_match_brute_force(spark, monkeypatch, cell, rounds):
+@pytest.mark.parametrize("cell, chunk", [(jaccard_regions.CELL, jaccard_regions.CHUNK), (16, 100), (1, 1)])
+def test_components_match_brute_force(spark, monkeypatch, cell, chunk):
     monkeypatch.setattr(jaccard_regions, "CELL", cell)
+    monkeypatch.setattr(jaccard_regions, "CHUNK", chunk)
     monkeypatch.setattr(jaccard_regions, "UNIT", 20_000)
     rows = groups()
     docs = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id long, text string, node string").repartition(3)
-    if rounds == 2:
-        found = jaccard_regions.link_documents(docs).collect()
-    else:
-        members, roots = jaccard_regions.similar_components(docs, rounds=rounds)
-        by = {r.node: r.root for r in roots.collect()}
-        rows_ = members.collect()
-        least = {}
-        for r in rows_:
-            if r.node is not None:
-                root = by.get(bytes(r.node), bytes(r.node))
-                least[root] = min(least.get(root, r.doc_id), r.doc_id)
-        found = [(r.doc_id, r.n, least[by.get(bytes(r.node), bytes(r.node))] if r.node is not None else r.doc_id) for r in rows_]
+    assert Counter(map(tuple, jaccard_regions.link_documents(docs).collect())) == link(rows)
+
+
+def test_cells_hold_every_pair_of_a_block_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_regions, "CELL", 8)
+    name = lambda k: k.to_bytes(16, "big")
+    blocks = spark.createDataFrame([(s, name(k), 10, name(k)) for s in (1, 2) for k in range(40 * s)], "shingle long, node binary, n long, root binary")
+    sets = spark.createDataFrame([(name(k), bytes(8 * jaccard_regions.SIGNATURE)) for k in range(80)], "node binary, signature binary")
+    known = spark.createDataFrame([(name(k), name(99), 0.5 if k % 2 else 1.0) for k in range(10)], "node binary, pivot binary, near double")
+    found = jaccard_regions._all_pairs(jaccard_regions._cells(blocks, known, sets)).collect()
+    # Members around one pivot meet only within a window of its distances.
+    expected = {(a, b) for a in range(80) for b in range(a + 1, 80) if not (b < 10 and (a - b) % 2)}
+    assert Counter((int.from_bytes(r.u, "big"), int.from_bytes(r.v, "big")) for r in found) == Counter(expected)
+    near = jaccard_regions._nearest(jaccard_regions._cells(blocks, known, sets)).collect()
+    assert len(near) <= 80 and {int.from_bytes(x, "big") for r in near for x in (r.u, r.v)} == set(range(80))
+
+
+def test_near_copies_are_tested_in_proportion_to_their_number(spark, monkeypatch):
+    tested = []
+    measure = jaccard_regions._distances
+    monkeypatch.setattr(jaccard_regions, "_distances", lambda pairs, sets: (tested.append(pairs.count()), measure(pairs, sets))[1])
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for _ in range(draw.randint(0, 8)):
+            w[draw.randrange(200)] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    found = jaccard_regions.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert Counter(map(tuple, found)) == link(rows)
+    assert sum(tested) <= 2 * len(rows)
 
 
 def test_given_documents(spark, sf):
