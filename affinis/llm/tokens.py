@@ -35,7 +35,9 @@ class Encoder:
         self.by_chunk = all(
             self._ids([space.join(parts)])[0] == b"".join(self._ids(parts)) for space in (" ", "\n", " \t ", "\r\n\n")
         )
-        self.by_word = self.by_chunk and bool(ends.any())
+        # Words are looked up in lower case, so every letter of theirs must have the ids of its lower case.
+        letters = " ".join(2 * chr(c) for c in range(0x100) if PLAIN.fullmatch(chr(c)))
+        self.by_word = self.by_chunk and bool(ends.any()) and self._ids([letters]) == self._ids([letters.lower()])
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 

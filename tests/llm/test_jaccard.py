@@ -63,7 +63,7 @@ def groups():
     return rows
 
 
-@pytest.mark.parametrize("cell, chunk", [(jaccard_regions.CELL, jaccard_regions.CHUNK), (16, 100), (1, 1)])
+@pytest.mark.parametrize("cell, chunk", [(jaccard_regions.CELL, jaccard_regions.CHUNK), (16, 100)])
 def test_components_match_brute_force(spark, monkeypatch, cell, chunk):
     monkeypatch.setattr(jaccard_regions, "CELL", cell)
     monkeypatch.setattr(jaccard_regions, "CHUNK", chunk)

@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import defaultdict
 
@@ -34,6 +35,18 @@ def test_other_tokenizers_encode_whole_texts():
     assert np.frombuffer(coder.encode(["a  b, c"])[0], "<u4").tolist() == t.encode("a  b, c", add_special_tokens=False).ids
 
 
+def test_tokenizers_that_keep_letter_case(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        model = json.load(file)
+    model["normalizer"]["normalizers"] = [n for n in model["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(model), encoding="utf-8")
+    coder, whole = Encoder(str(path)), Tokenizer.from_file(str(path))
+    assert not coder.by_word and Encoder(PATH).by_word
+    for text in ("Hello World hello", "Émile émile, ÉMILE."):
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_files_round_trip(spark, plain):
     docs = nasty(spark)
     rows = token_files.token_round_trip(docs, PATH, 1, with_ids=True).collect()
