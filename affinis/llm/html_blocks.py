@@ -1,7 +1,7 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is split into blocks at its block-level tags. A block is described by its word count and link density, those
-of the blocks before and after it, and whether it stands in an article element or in a part marked as something else
+of the blocks before and after it (none has -1 words), and whether it stands in an article element or in a part marked as something else
 (navigation, form, advert, comments, ...). A small decision tree (Gini, trained on the labelled table below) says which
 blocks are main text. Pages are handled one by one where they are read; nothing is shuffled.
 
@@ -87,6 +87,19 @@ LABELLED = [
     [(ARTICLE, 3, 3, 1), (ARTICLE, 2, 0, 1), (ARTICLE, 4, 2, 1), (OTHER, 90, 0, 0), (ARTICLE, 1, 0, 1)],
     [(ARTICLE, 2, 0, 1), (OTHER, 35, 0, 0), (OTHER, 65, 1, 0), (ARTICLE, 1, 1, 1), (ARTICLE, 5, 5, 1)],
     [(OTHER, 48, 0, 0), (PLAIN, 30, 0, 0), (ARTICLE, 7, 7, 1), (ARTICLE, 3, 0, 1)],
+    [(OTHER, 1, 0, 0), (ARTICLE, 210, 0, 1), (OTHER, 4, 0, 0), (ARTICLE, 48, 1, 1), (OTHER, 12, 1, 0), (ARTICLE, 95, 0, 1)],
+    [(OTHER, 2, 0, 0), (OTHER, 180, 0, 0), (OTHER, 11, 0, 0), (PLAIN, 88, 0, 1), (OTHER, 9, 0, 0), (PLAIN, 130, 0, 1), (OTHER, 26, 0, 0)],
+    [(PLAIN, 9, 0, 1), (PLAIN, 77, 0, 1), (OTHER, 5, 0, 0), (PLAIN, 61, 0, 1), (OTHER, 52, 0, 0), (OTHER, 140, 0, 0)],
+    [(PLAIN, 4, 0, 0), (OTHER, 14, 0, 0), (ARTICLE, 300, 4, 1), (OTHER, 3, 0, 0), (ARTICLE, 72, 0, 1), (PLAIN, 13, 0, 0), (PLAIN, 70, 0, 0)],
+    [(OTHER, n, 0, 0) for n in (3, 60, 7, 90, 15, 120, 30, 200, 45, 75, 2, 150, 24, 36, 1, 48, 5, 300, 18, 55, 28, 110, 65, 40)],
+    [(OTHER, n, k, 0) for n, k in ((50, 2), (4, 0), (85, 0), (12, 3), (140, 9), (33, 0), (70, 7), (26, 1), (400, 0), (9, 0), (58, 0), (95, 4))],
+    [(PLAIN, 210, 0, 1)],
+    [(PLAIN, 35, 0, 1)],
+    [(PLAIN, 38, 0, 1), (PLAIN, 55, 0, 1), (PLAIN, 62, 2, 1)],
+    [(PLAIN, 75, 0, 1), (PLAIN, 58, 0, 1), (PLAIN, 1, 0, 0)],
+    [(PLAIN, 66, 0, 1), (PLAIN, 34, 0, 1), (PLAIN, 1, 1, 0)],
+    [(PLAIN, 2, 2, 0), (PLAIN, 95, 0, 1), (PLAIN, 150, 22, 1), (PLAIN, 64, 0, 1), (PLAIN, 3, 0, 0)],
+    [(PLAIN, 1, 1, 0), (PLAIN, 6, 0, 1), (PLAIN, 118, 17, 1), (PLAIN, 70, 0, 1)],
 ]
 
 
@@ -218,6 +231,7 @@ def features(blocks: list[tuple[str, str, int, int]]) -> np.ndarray:
     words = np.array([b[2] for b in blocks], dtype=float)
     density = np.array([b[3] / b[2] for b in blocks], dtype=float)
     around = np.zeros((n + 2, 2))
+    around[[0, -1], 0] = -1  # no neighbour
     around[1:-1, 0], around[1:-1, 1] = words, density
     where = np.array([(b[1] == OTHER, b[1] == ARTICLE) for b in blocks], dtype=float).reshape(n, 2)
     has_article = np.full((n, 1), float(where[:, 1].any())) if n else np.zeros((0, 1))

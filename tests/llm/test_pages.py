@@ -162,3 +162,16 @@ def test_a_bundle_is_plain_zstandard(spark):
         with store.open_input_file(f"{root}/{name}") as f:
             text = zstandard.ZstdDecompressor().stream_reader(f.read(), read_across_frames=True).read()
         assert text.count(b"WARC/1.1\r\n") == index.where(index.bundle == name).count()
+
+
+@pytest.mark.parametrize("main, rest", [([240], []), ([40, 50, 60], []), ([80, 60], ["Imprint"]), ([90, 60], ["All rights reserved"])])
+def test_last_block_of_pages_without_an_article(main, rest):
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in main]
+    page = "<html><body>" + "".join(f"<p>{t}</p>" for t in texts + rest) + "</body></html>"
+    assert html_blocks.main_text(page, html_blocks.train()) == " ".join(texts)
+
+
+def test_a_long_block_with_some_links_stays():
+    linked, text = " ".join(["link"] * 20), " ".join(["word"] * 140)
+    page = f"<body><p>{text}</p><p>{text} <a href=x>{linked}</a></p><p>{text}</p><p>End here now</p></body>"
+    assert html_blocks.main_text(page, html_blocks.train()).split().count("link") == 20
