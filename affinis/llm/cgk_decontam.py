@@ -3,22 +3,22 @@
 A document is contaminated by an item if some part of it is within PERCENT of the item's length in edits. Texts are compared
 as UTF-8 bytes with A-Z lowered and white space runs as one space; distances count bytes.
 
-1. Windows: of an item cut into edits + 1 pieces one must survive any allowed edits, so only places where a piece occurs
-   can start a match. Each gives the item-sized window at the place it implies. This loses nothing: the piece that survives
-   is off that place by no more than the edits before it, which the walks and the exact check allow for.
-   Walks over long strings seldom keep in step, so items of more than WALKED bytes go without steps 2 and 3: cut into pieces
-   of LONG_PIECE bytes, all but `edits` of them must survive, and the starts they imply differ by no more than the edits
-   between them. Every place with so many pieces in a band of that width is verified (step 4); this loses nothing either.
+1. Windows: an item is cut into parts of at most WALKED bytes, as walks over longer strings seldom keep in step. If the item
+   is there, a part of it is there with at most PERCENT of the part's own length in edits. Of a part cut into edits + 1 pieces one
+   must survive that, so only places where a piece occurs can start a match; each gives the part-sized window at the place it
+   implies. All but the item's edits of all its pieces survive, and the starts of the item that they imply differ by no more than
+   these edits; windows without so many pieces in a band of that width go. Neither loses anything: a piece that survives is off its
+   place by no more than the edits before it, which the walks and the exact check allow for.
 2. The CGK embedding walks a window with random steps (one bit for each step and byte) and writes the byte under it; walks over
    similar strings fall into step again after an edit, so edit distance becomes Hamming distance.
-3. Bit sampling: a window is a candidate if, in one of WALKS * TABLES samples of SAMPLES positions, it agrees with the item, and
-   its Hamming distance over all sampled positions is not that of unrelated text. The
-   numbers give a recall of RECALL or more at the largest allowed distance, for items of up to WALKED bytes (measured in the
-   tests); exact copies always pass.
-4. Candidates are verified by exact edit distance (bit-parallel, free ends in the document).
+3. Bit sampling: a window is a candidate if, in one of WALKS * TABLES samples of SAMPLES positions, it agrees with the part, and
+   its Hamming distance over all sampled positions is not that of unrelated text. The numbers give a recall of RECALL or more
+   at the largest allowed distance, for items of any length (measured in the tests); exact copies always pass.
+4. The item is verified around each candidate by exact edit distance (bit-parallel, free ends in the document).
 
 Documents are read once for each block of items, and nothing is shuffled; a block is bounded by BLOCK_BYTES and is the only
-thing broadcast. The walks' tables and buffers are bounded by WALKED, and what is held of a long item by its pieces.
+thing broadcast. A benchmark of many blocks is read through the driver, block by block, and takes as many scans of the documents.
+The walks' tables and buffers are bounded by WALKED, and what is held of a long item by its pieces.
 
 Defined cases: null and empty documents and items match nothing; items of the same text are reported each; repeated rows are
 reported as often as they occur; an empty table gives no rows; other columns are kept where documents are returned.
@@ -37,7 +37,7 @@ from affinis.llm.textscan import BYTE_VALUES, LOWERED, column_bytes, mix, powers
 
 PERCENT, RECALL = 10, 0.95
 PIECE = 9
-WALKED, LONG_PIECE = 160, 8
+WALKED = 160
 WALKS, TABLES, SAMPLES = 6, 8, 4
 # Chance agreement of unrelated text is about 0.08 of the places; at the largest distance it is mostly over 0.3.
 CLOSE, REACH = 0.2, 1.8
@@ -53,24 +53,27 @@ def normal(text: bytes) -> bytes:
 
 
 class Items:
-    """A block of items: their pieces by length, and their embeddings at the sampled positions."""
+    """A block of items: their parts, the pieces of these by length, and the parts' embeddings at the sampled positions."""
 
     def __init__(self, rows: list[tuple[int, bytes]]):
         self.ids = [i for i, _ in rows]
         self.texts = [t for _, t in rows]
         self.lengths = np.array([len(t) for t in self.texts], dtype=np.int64)
         self.edits = self.lengths * PERCENT // 100
-        self.long = self.lengths > WALKED
-        # Pieces of a long item that must survive in one place.
-        self.least = self.lengths // LONG_PIECE - self.edits
+        # Item, place in it, and length of each part.
+        parts = [(k, *span) for k, n in enumerate(self.lengths.tolist()) for span in _cuts(n, -(-n // WALKED))]
+        self.owner, self.offset, self.part_lengths = np.array(parts, dtype=np.int64).reshape(-1, 3).T
+        # Pieces of an item that must survive in one place.
+        self.least = -self.edits
         pieces: dict[int, list[tuple[int, int, int]]] = {}
-        for k, text in enumerate(self.texts):
-            parts = len(text) // LONG_PIECE if self.long[k] else int(self.edits[k]) + 1
-            q = LONG_PIECE if self.long[k] else min(PIECE, len(text) // parts)
+        for part, (k, begin, n) in enumerate(parts):
+            text = self.texts[k][begin : begin + n]
+            cuts = _cuts(n, n * PERCENT // 100 + 1)
+            q = min(PIECE, n // len(cuts))
             hashes = gram_hashes(np.frombuffer(text, np.uint8), q)
-            for j in range(parts):
-                at = j * LONG_PIECE if self.long[k] else j * len(text) // parts
-                pieces.setdefault(q, []).append((int(hashes[at]), k, at))
+            for at, _ in cuts:
+                pieces.setdefault(q, []).append((int(hashes[at]), part, at))
+            self.least[k] += len(cuts)
         self.pieces = {}
         for q, found in pieces.items():
             found.sort()
@@ -80,9 +83,13 @@ class Items:
             self.pieces[q] = (h, np.array([f[1] for f in found]), np.array([f[2] for f in found]), sieve)
         data = np.frombuffer(b"".join(self.texts) + b"\0", dtype=np.uint8)
         base = np.cumsum(self.lengths) - self.lengths
-        # Row of each item in samples; long items have none.
-        self.sample = np.cumsum(~self.long) - 1
-        self.samples = embed(data, base[~self.long], self.lengths[~self.long])
+        self.samples = embed(data, base[self.owner] + self.offset, self.part_lengths)
+
+
+def _cuts(n: int, parts: int) -> list[tuple[int, int]]:
+    """Place and length of the almost equal parts of n bytes."""
+    edges = [j * n // parts for j in range(parts + 1)]
+    return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
 
 
 def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
@@ -163,12 +170,12 @@ def edit_distance_within(item: bytes, text: bytes) -> int:
 
 
 def _windows(items: Items, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, item, start, pieces) of the distinct item-sized windows, in order; first: where each document begins in data.
+    """(document, part, start, pieces) of the distinct part-sized windows, in order; first: where each document begins in data.
 
     The start is the one implied by the pieces, and may lie before the document.
     """
     found = []
-    for q, (keys, item, offset, sieve) in items.pieces.items():
+    for q, (keys, part, offset, sieve) in items.pieces.items():
         h = gram_hashes(data, q)
         at = np.flatnonzero(sieve[h >> np.uint64(64 - FILTER_BITS)])
         lo, hi = np.searchsorted(keys, h[at]), np.searchsorted(keys, h[at], side="right")
@@ -178,48 +185,60 @@ def _windows(items: Items, data: np.ndarray, first: np.ndarray) -> tuple[np.ndar
             which = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
             at = np.repeat(at, n)
             doc = np.searchsorted(first, at, side="right") - 1
-            found.append(_distinct(doc, item[which], at - offset[which], np.ones(len(at), dtype=np.int64)))
+            found.append(_distinct(doc, part[which], at - offset[which], np.ones(len(at), dtype=np.int64)))
     if not found:
         return tuple(np.empty((4, 0), dtype=np.int64))
     return _distinct(*[np.concatenate(c) for c in zip(*found)])
 
 
-def _distinct(doc, item, start, pieces):
-    """Rows with the same document, item and start made one, in order, their pieces added up."""
-    order = np.lexsort((start, item, doc))
-    doc, item, start, pieces = doc[order], item[order], start[order], pieces[order]
+def _distinct(doc, part, start, pieces):
+    """Rows with the same document, part and start made one, in order, their pieces added up."""
+    order = np.lexsort((start, part, doc))
+    doc, part, start, pieces = doc[order], part[order], start[order], pieces[order]
     new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] != start[:-1])
-    return doc[new], item[new], start[new], np.add.reduceat(pieces, np.flatnonzero(new)) if len(doc) else pieces
+    new[1:] = (doc[1:] != doc[:-1]) | (part[1:] != part[:-1]) | (start[1:] != start[:-1])
+    return doc[new], part[new], start[new], np.add.reduceat(pieces, np.flatnonzero(new)) if len(doc) else pieces
+
+
+def _banded(items: Items, doc, part, start, pieces) -> np.ndarray:
+    """Whether a window is in a band, as wide as its item's edits, with as many of the item's pieces as must survive."""
+    item, start = items.owner[part], start - items.offset[part]
+    order = np.lexsort((start, item, doc))
+    doc, item, start = doc[order], item[order], start[order]
+    pair = np.zeros(len(doc), dtype=np.int64)
+    pair[1:] = np.cumsum((doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))
+    edits, low = items.edits[item], start.min(initial=0)
+    key = pair * int(start.max(initial=0) - low + edits.max(initial=0) + 1) + start - low
+    total = np.concatenate([[0], np.cumsum(pieces[order])])
+    # Bands that begin at a window, then windows with such a band no more than its width before them.
+    begins = total[np.searchsorted(key, key + edits, side="right")] - total[np.searchsorted(key, key)] >= items.least[item]
+    bands = np.concatenate([[0], np.cumsum(begins)])
+    keep = np.empty(len(doc), dtype=bool)
+    keep[order] = bands[np.searchsorted(key, key, side="right")] > bands[np.searchsorted(key, key - edits)]
+    return keep
 
 
-def _walked(items: Items, data, first, lengths, doc, item, start):
-    """(document, item, from, to) of the windows of short items that the walks take for candidates."""
+def _walked(items: Items, data, first, lengths, doc, part, start) -> np.ndarray:
+    """Whether the walks take a window for a candidate."""
     start = np.maximum(start, first[doc])
     keep = np.zeros(len(doc), dtype=bool)
     for lo in range(0, len(doc), 1 << 16):
         s = slice(lo, lo + (1 << 16))
-        length = np.minimum(items.lengths[item[s]], (first + lengths)[doc[s]] - start[s])
-        # The walk is that of the item's length; what the document lacks reads as zero.
-        keep[s] = agree(_embed_as(data, start[s], length, items.lengths[item[s]]), items.samples[items.sample[item[s]]])
-    doc, item, start = doc[keep], item[keep], start[keep]
-    slack = 2 * items.edits[item] + 12
-    return doc, item, start - slack, start + items.lengths[item] + slack
+        length = np.minimum(items.part_lengths[part[s]], (first + lengths)[doc[s]] - start[s])
+        # The walk is that of the part's length; what the document lacks reads as zero.
+        keep[s] = agree(_embed_as(data, start[s], length, items.part_lengths[part[s]]), items.samples[part[s]])
+    return keep
 
 
-def _banded(items: Items, doc, item, start, pieces):
-    """(document, item, from, to) of the places of long items where enough pieces lie in one band."""
-    pair = np.zeros(len(doc), dtype=np.int64)
-    pair[1:] = np.cumsum((doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))
-    edits, n = items.edits[item], items.lengths[item]
-    low = start.min(initial=0)
-    key = pair * int(start.max(initial=0) - low + edits.max(initial=0) + 1) + start - low
-    total = np.concatenate([[0], np.cumsum(pieces)])
-    good = total[np.searchsorted(key, key + edits, side="right")] - total[:-1] >= items.least[item]
-    doc, item, pair, lo, hi = doc[good], item[good], pair[good], (start - edits)[good], (start + n + edits)[good]
-    # Places of one item that overlap are verified as one.
+def _places(items: Items, doc, part, start):
+    """(document, item, from, to) where the items of some windows are to be verified; places of one item that overlap are one."""
+    item, start = items.owner[part], start - items.offset[part]
+    order = np.lexsort((start, item, doc))
+    doc, item, start = doc[order], item[order], start[order]
+    slack = 2 * items.edits[item] + 12
+    lo, hi = start - slack, start + items.lengths[item] + slack
     new = np.ones(len(doc), dtype=bool)
-    new[1:] = (pair[1:] != pair[:-1]) | (lo[1:] > hi[:-1])
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (lo[1:] > hi[:-1])
     last = np.ones(len(doc), dtype=bool)
     last[:-1] = new[1:]
     return doc[new], item[new], lo[new], hi[last]
@@ -232,19 +251,19 @@ def matches(items: Items, texts: list[bytes]) -> Iterator[tuple[int, int, int]]:
     data = np.frombuffer(joined, dtype=np.uint8)
     lengths = np.array([len(t) for t in plain], dtype=np.int64)
     first = np.cumsum(lengths + 1) - (lengths + 1)
-    doc, item, start, pieces = _windows(items, data, first)
-    long = items.long[item]
-    short = _distinct(doc[~long], item[~long], np.maximum(start, first[doc])[~long], pieces[~long])[:3]
+    doc, part, start, pieces = _windows(items, data, first)
+    keep = _banded(items, doc, part, start, pieces)
+    doc, part, start = doc[keep], part[keep], start[keep]
+    keep = _walked(items, data, first, lengths, doc, part, start)
     best: dict[tuple[int, int], int] = {}
-    for places in (_walked(items, data, first, lengths, *short), _banded(items, doc[long], item[long], start[long], pieces[long])):
-        for d, i, lo, hi in zip(*[c.tolist() for c in places]):
-            if best.get((d, i)) == 0:
-                continue
-            edits = int(items.edits[i])
-            part = joined[max(lo, int(first[d])) : min(hi, int(first[d] + lengths[d]))]
-            distance = edit_distance_within(items.texts[i], part)
-            if distance <= edits and distance < best.get((d, i), edits + 1):
-                best[d, i] = distance
+    for d, i, lo, hi in zip(*[c.tolist() for c in _places(items, doc[keep], part[keep], start[keep])]):
+        if best.get((d, i)) == 0:
+            continue
+        edits = int(items.edits[i])
+        text = joined[max(lo, int(first[d])) : min(hi, int(first[d] + lengths[d]))]
+        distance = edit_distance_within(items.texts[i], text)
+        if distance <= edits and distance < best.get((d, i), edits + 1):
+            best[d, i] = distance
     yield from ((d, i, x) for (d, i), x in sorted(best.items()))
 
 

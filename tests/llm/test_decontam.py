@@ -94,6 +94,25 @@ def test_long_items_are_all_found():
         assert len(true) >= 34 and found == true
 
 
+def test_recall_around_the_length_of_a_walk():
+    draw = random.Random(21)
+    words = ["".join(draw.choices("thandeorisblg", k=draw.randint(2, 9))) for _ in range(2000)]
+    text = lambda n: " ".join(draw.choices(words, k=n))[:n].strip()
+    for size in (cgk_decontam.WALKED - 2, cgk_decontam.WALKED + 2, 250, 2 * cgk_decontam.WALKED + 2):
+        block = cgk_decontam.Items([(i, text(size).encode()) for i in range(60)])
+        docs = [f"{text(90)} {edited(t.decode(), int(block.edits[i]), draw)} {text(90)}".encode() for i, t in enumerate(block.texts)]
+        found = {(d, i) for d, i, _ in cgk_decontam.matches(block, docs)}
+        true = {(d, d) for d, t in enumerate(docs) if cgk_decontam.edit_distance_within(block.texts[d], cgk_decontam.normal(t)) <= block.edits[d]}
+        assert len(true) > 50 and found <= true and len(found) >= cgk_decontam.RECALL * len(true)
+
+
+def test_parts_cover_items_and_a_surviving_piece_is_enough():
+    block = cgk_decontam.Items([(1, b"x"), (2, b"a" * cgk_decontam.WALKED), (3, b"ab" * 400)])
+    assert [int((block.owner == k).sum()) for k in range(3)] == [1, 1, 5]
+    assert all(block.part_lengths[block.owner == k].sum() == n for k, n in enumerate(block.lengths))
+    assert block.part_lengths.max() <= cgk_decontam.WALKED and block.least.min() >= 1
+
+
 def test_memory_does_not_grow_with_the_item(monkeypatch):
     draw = random.Random(2)
     text = lambda n: " ".join("".join(draw.choices("thandeorisblg", k=6)) for _ in range(n // 7))
