@@ -4,7 +4,7 @@ The distance of two shingle sets is 1 - intersection / union, a metric; document
 
 Almost all pairs of documents are at distance 1, where pivots tell nothing. So the space is first cut into blocks: a link needs a
 common shingle among the rarest of either document (the shortest prefix that any set within EPS must meet), and a
-block holds the documents that share one. Inside the blocks the metric method runs:
+block holds the documents that share one; blocks of the same documents are one. Inside the blocks the metric method runs:
 
 1. Every block has a pivot (a random member). A document belongs to the Voronoi region of the pivot with which it shares
    most blocks; its exact distance to that pivot is taken, and it links to a pivot within EPS.
@@ -226,9 +226,14 @@ def _blocks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = members.select("unit", "at", "node", "n")
     blocks = shared.join(own, ["unit", "at"]).groupBy("shingle", "node").agg(F.first("n").alias("n"))
     blocks = pin(blocks)
-    sizes = blocks.groupBy("shingle").agg(F.count("*").alias("m"), F.min("n").alias("least"), F.max("n").alias("most"))
+    sizes = blocks.groupBy("shingle").agg(
+        F.count("*").alias("m"), F.min("n").alias("least"), F.max("n").alias("most"),
+        *(F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"x{seed}") for seed in (0, 1)),
+    )
     # Two sets whose sizes differ by more than a link allows need no block.
-    open_ = sizes.where((F.col("m") > 2) | (F.col("m") == 2) & (100 * F.col("least") >= PERCENT * F.col("most"))).select("shingle")
+    worth = sizes.where((F.col("m") > 2) | (F.col("m") == 2) & (100 * F.col("least") >= PERCENT * F.col("most")))
+    # Near copies share many rare shingles: blocks of the same members (told by 128 bits) are one.
+    open_ = worth.groupBy("m", "x0", "x1").agg(F.min("shingle").alias("shingle")).select("shingle")
     kept = pin(blocks.join(open_, "shingle"))
     members = pin(members.select("key_id", "key_mark", "doc_id", "node", "n"))
     drop_folder(docs.sparkSession, folder)
