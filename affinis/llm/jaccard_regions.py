@@ -42,7 +42,7 @@ from affinis.llm.textscan import column_bytes, mix, word_hashes
 from affinis.session import drop_folder, pin, release_shuffles, scratch_dir, unpin
 
 WORDS, PERCENT = 5, 80
-UNIT, CELL, CHUNK, FREQUENT = 16 << 20, 1024, 1 << 18, 1 << 17
+UNIT, CELL, CHUNK, FREQUENT = 6 << 20, 1024, 1 << 16, 1 << 17
 SIGNATURE = 8  # longs
 STEP = np.uint64(0x9FB21C651E98DF25)
 
