@@ -34,7 +34,7 @@ CHUNK_ROWS = 256  # query rows scored at once inside a task
 GROUPED = 64  # columns whose largest score stands for them, at most
 DIRECT_PAIRS = 1 << 30  # up to so many pairs scoring them all takes less time than finding cells
 CELL_ROWS = 256  # fewer candidates are not worth a cell of their own
-FINE_CELLS, MAX_CELLS = 64, 4_096  # cells below and above FINE_CELLS * BLOCK_ROWS candidates
+FINE_CELLS, MAX_CELLS = 64, 4_096  # least and most cells of many candidates; between them twice the square root of their number
 SAMPLED = 8_192  # candidates from which centres are drawn, at most
 
 _TILE_SCHEMA = "query_id BIGINT, item_id BIGINT, score DOUBLE"
@@ -135,7 +135,15 @@ class Cells:
 
     def home(self, bounds: np.ndarray, n: int) -> np.ndarray:
         """(query, cell): the cells of highest bound that together hold more than `n` candidates."""
-        order = np.argsort(-bounds, axis=1, kind="stable")
+        # So many cells hold more than `n` whichever they are; only these are put in order.
+        enough = int(np.searchsorted(np.cumsum(np.sort(self.rows)), n, side="right")) + 1
+        if enough == 1:
+            order = np.argmax(bounds, axis=1)[:, None]
+        elif 4 * enough < bounds.shape[1]:
+            order = np.sort(np.argpartition(-bounds, enough - 1, axis=1)[:, :enough], axis=1)
+            order = np.take_along_axis(order, np.argsort(-np.take_along_axis(bounds, order, axis=1), axis=1, kind="stable"), axis=1)
+        else:
+            order = np.argsort(-bounds, axis=1, kind="stable")
         held = np.cumsum(self.rows[order], axis=1)
         first = np.concatenate([np.zeros((len(order), 1), dtype=held.dtype), held[:, :-1]], axis=1)
         out = np.zeros(bounds.shape, dtype=bool)
@@ -356,7 +364,7 @@ def top_candidates(
         return ["query_id", "vector", beat.alias("beat"), F.xxhash64("query_id").alias("mix")]
 
     nothing = F.lit(None).cast("double")
-    count = min(MAX_CELLS, max(math.ceil(total / block_rows), min(FINE_CELLS, total // cell_rows)))
+    count = min(MAX_CELLS, max(math.ceil(total / block_rows), min(max(FINE_CELLS, 2 * math.isqrt(total)), total // cell_rows)))
     if asked * total <= direct_pairs and total <= block_rows:
         count = 1
     if count <= 1:  # one cell holds all: every query goes there

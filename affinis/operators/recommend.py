@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from affinis.functions.columns import half_even
@@ -107,17 +108,44 @@ def item_similarity_top_n(
     """(item_id, similar_id, similarity, rank): nearest items by cosine, itself excluded.
 
     Features the table lacks are skipped and nulls count as 0. `only` (item_id) limits for which
-    items neighbours are searched, not among which.
+    items neighbours are searched, not among which. Items of one vector have the same neighbours but for themselves, so every
+    different vector is searched once, among the different vectors; each stands for its first n + 1 items.
     """
     vectors = pin(_unit_vectors(items, features, standardize))
+    place = F.row_number().over(W.partitionBy("vector").orderBy("item_id"))
+    groups = pin(
+        vectors.withColumn("place", place)
+        .filter(F.col("place") <= n + 1)
+        .groupBy("vector")
+        .agg(F.array_sort(F.collect_list("item_id")).alias("ids"))
+        .select(F.col("ids")[0].alias("item_id"), "vector", "ids")
+    )
     asked = vectors if only is None else vectors.join(only.select("item_id"), "item_id", "left_semi")
-    queries = asked.withColumnRenamed("item_id", "query_id")
-    best = top_candidates(queries, vectors, n, digits=digits, skip_same=True, **tiles)
-    return best.select(
-        F.col("query_id").alias("item_id"),
-        F.col("item_id").alias("similar_id"),
-        F.col("score").alias("similarity"),
-        "rank",
+    members = asked.join(groups.select(F.col("item_id").alias("query_id"), "vector"), "vector").select(
+        "item_id", "query_id"
+    )
+    queries = groups.select(F.col("item_id").alias("query_id"), "vector")
+    if only is not None:
+        members = pin(members)
+        queries = pin(queries.join(members.select("query_id").distinct(), "query_id", "left_semi"))
+    best = top_candidates(queries, groups.select("item_id", "vector"), n + 1, digits=digits, **tiles)
+    each = F.transform("ids", lambda i: F.struct((-F.col("score")).alias("away"), i.alias("similar_id")))
+    lists = (
+        best.join(groups.select("item_id", "ids"), "item_id")
+        .groupBy("query_id")
+        .agg(F.array_sort(F.flatten(F.collect_list(each))).alias("near"))
+        .select("query_id", F.slice("near", 1, n + 1).alias("near"))
+    )
+    others = F.filter("near", lambda x: x["similar_id"] != F.col("item_id"))
+    return (
+        members.join(lists, "query_id")
+        .select("item_id", F.posexplode(F.slice(others, 1, n)).alias("at", "x"))
+        .select(
+            "item_id",
+            F.col("x.similar_id").alias("similar_id"),
+            (F.lit(0.0) - F.col("x.away")).alias("similarity"),
+            (F.col("at") + 1).cast("long").alias("rank"),
+        )
     )
 
 

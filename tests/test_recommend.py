@@ -221,6 +221,50 @@ def test_cosine_neighbours(spark):
     assert all(s == 0.0 for _, s in got[4])
 
 
+def test_items_of_one_vector_are_searched_once(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    values = np.repeat(rng.integers(0, 4, (12, 2)).astype(float), 15, axis=0)
+    values = values[rng.permutation(len(values))]
+    items = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(values)], "item_id BIGINT, a DOUBLE, b DOUBLE")
+    norms = np.linalg.norm(values, axis=1)
+    unit = np.divide(values, norms[:, None], out=np.zeros_like(values), where=norms[:, None] > 0)
+    sims = np.round(unit @ unit.T, 6) + 0.0
+    different = len({tuple(v) for v in unit})
+    scored = []
+    score = recommend.top_candidates
+
+    def watched(queries, candidates, *args, **kwargs):
+        scored.append((queries.count(), candidates.count()))
+        return score(queries, candidates, *args, **kwargs)
+
+    monkeypatch.setattr(recommend, "top_candidates", watched)
+    some = spark.createDataFrame([(i,) for i in range(0, 180, 7)], "item_id BIGINT")
+    for only, asked in ((None, range(180)), (some, range(0, 180, 7))):
+        found = recommend.item_similarity_top_n(items, ["a", "b"], 20, only=only)
+        want = {
+            (i, j, sims[i, j], rank)
+            for i in asked
+            for rank, j in enumerate([j for j in np.argsort(-sims[i], kind="stable") if j != i][:20], 1)
+        }
+        assert as_set(found, "item_id", "similar_id", "similarity", "rank") == want and found.count() == len(want)
+    assert all(q <= different and c <= different for q, c in scored)
+
+
+def test_cells_grow_with_the_candidates(spark):
+    rng = np.random.default_rng(10)
+    cells = tiles.Cells(rng.normal(size=(50, 3)), np.ones(50), np.ones(50), rng.integers(1, 9, 50))
+    bounds = np.round(rng.uniform(size=(40, 50)), 1)
+    for n in (0, 3, 7, 400):
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        held = np.cumsum(cells.rows[order], axis=1) - cells.rows[order]
+        want = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(want, order, held <= n, axis=1)
+        found = cells.home(bounds, n)
+        # Equal bounds may be taken in another order, but never more cells or lower bounds than needed.
+        assert all((cells.rows[f].sum() > n or f.all()) for f in found)
+        assert np.allclose([bounds[k][f].min() for k, f in enumerate(found)], [bounds[k][w].min() for k, w in enumerate(want)], atol=0.11)
+
+
 def test_standardized_features(spark):
     items = spark.createDataFrame([(1, 1.0, 5.0), (2, 2.0, 5.0), (3, 3.0, 5.0)], "item_id BIGINT, a DOUBLE, b DOUBLE")
     found = recommend.item_similarity_top_n(items, ["a", "b"], 2, standardize=True)
