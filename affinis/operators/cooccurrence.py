@@ -9,11 +9,13 @@ the result stays exact:
   and pairs seen only in wide baskets are formed only when that count alone reaches the threshold,
   so each of them is a row of the result;
 * other large baskets are cut into tiles of bounded size, one join key per pair of tiles.
+
+A table of baskets is small beside its pairs, so the number of tasks follows the pairs, which are known from the basket sizes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from affinis.session import pin
 TILE_ITEMS = 2_000
 WIDE_BASKET = 20_000
 MAX_WIDE = 12  # bits, hence at most 4096 different masks
+PAIRS_A_TASK, FEW_PAIRS = 1 << 22, 1 << 18  # pairs formed or counted by one task: at most, and worth a task of its own
 
 
 def _baskets(df: DataFrame) -> DataFrame:
@@ -40,9 +43,10 @@ def _with_support(baskets: DataFrame, min_cooccur: int) -> tuple[DataFrame, Data
     return baskets.join(degrees.select("item_id"), "item_id", "left_semi"), degrees
 
 
-def _pairs_within(baskets: DataFrame, keys: list[str]) -> DataFrame:
-    left = baskets.select(*keys, F.col("item_id").alias("item_a"))
-    right = baskets.select(*keys, F.col("item_id").alias("item_b"))
+def _pairs_within(baskets: DataFrame, keys: list[str], tasks: int) -> DataFrame:
+    dealt = baskets.repartition(tasks, *keys)
+    left = dealt.select(*keys, F.col("item_id").alias("item_a"))
+    right = dealt.select(*keys, F.col("item_id").alias("item_b"))
     return left.join(right, keys).filter("item_a < item_b")
 
 
@@ -50,7 +54,7 @@ def _tile_of(item: Column | str, tiles: Column) -> Column:
     return F.pmod(F.xxhash64(item), tiles)
 
 
-def _tiled_pairs(baskets: DataFrame, sizes: DataFrame, tile_items: int) -> DataFrame:
+def _tiled_pairs(baskets: DataFrame, sizes: DataFrame, tile_items: int, tasks: int) -> DataFrame:
     """All pairs of each basket, joined per (user, tile of a, tile of b)."""
     placed = (
         baskets.join(sizes, "user_id")
@@ -70,10 +74,15 @@ def _tiled_pairs(baskets: DataFrame, sizes: DataFrame, tile_items: int) -> DataF
         F.col("_own").alias("_tb"),
         F.col("item_id").alias("item_b"),
     )
-    return left.join(right, ["user_id", "_ta", "_tb"]).filter("item_a < item_b")
+    keys = ["user_id", "_ta", "_tb"]
+    return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys).filter("item_a < item_b")
 
 
-def _counted(pairs: DataFrame) -> DataFrame:
+def _counted(pairs: DataFrame, n_pairs: int, n_items: int) -> DataFrame:
+    """Pairs that repeat much are counted before the shuffle; so many that few repeat in a task, by tasks of bounded size."""
+    spread = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if min(n_pairs, n_items * (n_items - 1) // 2) > spread * PAIRS_A_TASK:
+        pairs = pairs.repartition(-(-n_pairs // PAIRS_A_TASK), "item_a", "item_b")
     return pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("cooccur_count"))
 
 
@@ -141,14 +150,20 @@ def _with_wide(narrow: DataFrame, masks: DataFrame, min_cooccur: int, tile_items
     return completed.unionByName(alone.withColumnRenamed("wide_count", "cooccur_count"))
 
 
-def _bounded_baskets(df: DataFrame, tile_items: int) -> bool:
-    """Whether no user has more rows than one tile may hold: one pass over one column."""
-    rows = df.groupBy("user_id").count().agg(F.max("count").alias("rows")).first()["rows"]
-    return (rows or 0) <= tile_items
+def _largest_and_pairs(df: DataFrame) -> tuple[int, int]:
+    """The rows of the largest basket, and how many pairs all baskets hold at most: one pass over one column."""
+    n = F.col("count").cast("decimal(19,0)")
+    largest, pairs = df.groupBy("user_id").count().agg(F.max("count"), F.sum(n * (n - 1) / 2)).first()
+    return largest or 0, int(pairs or 0)
+
+
+def _tasks(spark: SparkSession, n_pairs: int) -> int:
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-n_pairs // PAIRS_A_TASK), min(spread, -(-n_pairs // FEW_PAIRS)))
 
 
 def _cooccurrence(
-    baskets: DataFrame, min_cooccur: int, tile_items: int, wide_basket: int
+    baskets: DataFrame, min_cooccur: int, tile_items: int, wide_basket: int, n_items: int
 ) -> DataFrame:
     enough = F.col("cooccur_count") >= min_cooccur
     sizes = pin(baskets.groupBy("user_id").agg(F.count(F.lit(1)).alias("size")))
@@ -158,10 +173,15 @@ def _cooccurrence(
         .limit(MAX_WIDE)  # further wide baskets are enumerated in tiles
         .select("user_id")
     )
+
+    def counted(rest: DataFrame) -> DataFrame:
+        n_pairs = _largest_and_pairs(rest)[1]
+        tiled = _tiled_pairs(rest, sizes, tile_items, _tasks(rest.sparkSession, n_pairs))
+        return _counted(tiled, n_pairs, n_items)
+
     if wide.isEmpty():
-        return _counted(_tiled_pairs(baskets, sizes, tile_items)).filter(enough)
-    rest = baskets.join(F.broadcast(wide), "user_id", "left_anti")
-    narrow = pin(_counted(_tiled_pairs(rest, sizes, tile_items)))
+        return counted(baskets).filter(enough)
+    narrow = pin(counted(baskets.join(F.broadcast(wide), "user_id", "left_anti")))
     masks = pin(_wide_masks(baskets, wide))
     return _with_wide(narrow, masks, min_cooccur, tile_items).filter(enough)
 
@@ -170,10 +190,14 @@ def _pairs_and_degrees(
     df: DataFrame, min_cooccur: int, tile_items: int, wide_basket: int
 ) -> tuple[DataFrame, DataFrame]:
     baskets, degrees = _with_support(_baskets(df), min_cooccur)
-    if _bounded_baskets(df, tile_items):
-        pairs = _counted(_pairs_within(baskets, ["user_id"]))
-        return pairs.filter(F.col("cooccur_count") >= min_cooccur), degrees
-    return _cooccurrence(pin(baskets), min_cooccur, tile_items, wide_basket), degrees
+    baskets, degrees = pin(baskets), pin(degrees)
+    n_items = degrees.count()
+    largest, n_pairs = _largest_and_pairs(baskets)
+    if largest <= tile_items:
+        pairs = _pairs_within(baskets, ["user_id"], _tasks(df.sparkSession, n_pairs))
+        counted = _counted(pairs, n_pairs, n_items)
+        return counted.filter(F.col("cooccur_count") >= min_cooccur), degrees
+    return _cooccurrence(baskets, min_cooccur, tile_items, wide_basket, n_items), degrees
 
 
 def item_cooccurrence(

@@ -1,5 +1,6 @@
 """Pair counts against brute force, whatever the plan they are made with."""
 
+import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -7,8 +8,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from affinis.operators import cooccurrence
 from affinis.operators.cooccurrence import item_cooccurrence, item_jaccard
-from tests.helpers import as_set
+from tests.helpers import as_set, plan_of
 
 PLANS = [
     {},  # one join key per user
@@ -69,6 +71,17 @@ def test_random_baskets(spark, pairs, plan, min_cooccur):
     check(spark, pairs, min_cooccur, plan)
 
 
+@pytest.mark.parametrize("plan", PLANS[:2])
+def test_tasks_grow_with_the_pairs(spark, monkeypatch, plan):
+    monkeypatch.setattr(cooccurrence, "PAIRS_A_TASK", 40)
+    pairs = [(u, (u * k) % 97) for u in range(1, 60) for k in range(1, 8)]
+    check(spark, pairs, 2, plan)
+    df = spark.createDataFrame(pairs, "user_id BIGINT, item_id BIGINT")
+    formed = len(set(pairs)) * 3  # about, baskets of seven hold three pairs an item
+    dealt = re.findall(r"hashpartitioning\(.*?, (\d+)\), REPARTITION_BY_NUM", plan_of(item_cooccurrence(df, 2, **plan), "simple"))
+    assert dealt and min(map(int, dealt)) * 40 >= formed / 2
+
+
 def test_items_never_together_twice(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (2, 3)], "user_id BIGINT, item_id BIGINT")
     found = item_cooccurrence(df)
