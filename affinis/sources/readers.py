@@ -17,6 +17,14 @@ CORRUPT, REASON = "_corrupt_record", "_reject_reason"
 REQUIRED = ("user_id", "item_id", "rating", "timestamp")
 MANY_FILES = 100_000  # headers of more files are joined by a shuffle
 MANY_HEADERS = 200  # different first lines of one batch of files
+MAX_TEXT = 2**31 - 1
+
+
+# What a cast can accept at all: a cast that fails costs many times one that does not.
+_BLANK, _DIGITS = r"[\s\p{Cc}]*", r"[\p{Nd}.]+(e[+-]?\p{Nd}+)?"
+WHOLE = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
+DECIMAL = rf"(?i)^{_BLANK}[+-]?{_DIGITS}{_BLANK}$"
+FLOATING = rf"(?i)^{_BLANK}[+-]?({_DIGITS}[df]?|0x[0-9a-f.]+p[+-]?[0-9]+[df]?|nan|inf(inity)?){_BLANK}$"
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:
@@ -25,7 +33,10 @@ def _typed(text: Column, kind: T.DataType) -> Column:
         return text
     if isinstance(kind, (T.LongType, T.IntegerType)):
         number = text.try_cast("decimal(38,6)")
-        return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+        written = F.when(number == F.floor(number), number.try_cast(kind))
+        return F.coalesce(F.when(text.rlike(WHOLE), text.try_cast(kind)), F.when(text.rlike(DECIMAL), written))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(text.rlike(FLOATING), text.try_cast(kind))
     return text.try_cast(kind)
 
 
@@ -46,7 +57,7 @@ def scan_interactions(
     fields may hold commas but no line ends. The files are read as text twice: once for their headers, once for their rows.
     """
     text = spark.read.text(path).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("value"),
+        F.when(F.col("value").startswith("\ufeff"), F.substring("value", 2, MAX_TEXT)).otherwise(F.col("value")).alias("value"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
     )
@@ -64,23 +75,35 @@ def scan_interactions(
         (F.trim("value") != "") & ((F.col("start") > 0) | (F.col("value") != F.col("header")))
     )
 
-    def fields(found: list[str]) -> Column:
-        """The schema's columns as text, and the line itself if it has not as many fields as the header."""
-        ddl = ", ".join(f"c{k} STRING" for k in range(len(found))) + f", {CORRUPT} STRING"
-        parsed = F.from_csv("value", ddl, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-        picked = [
-            (parsed[f"c{found.index(f.name)}"] if f.name in found else F.lit(None).cast("string")).alias(f.name) for f in schema
-        ]
-        return F.struct(*picked, parsed[CORRUPT].alias(CORRUPT))
-
-    choice = None
-    for line, found in zip(shapes, names):
-        is_it = F.col("header") == F.lit(line)
-        choice = F.when(is_it, fields(found)) if choice is None else choice.when(is_it, fields(found))
-    if choice is None:
+    if not shapes:
         extra = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType()), T.StructField(REASON, T.StringType())])
         return spark.createDataFrame([], extra)
-    row = lines.select("value", choice.alias("f"))
+
+    def parsed(width: int) -> Column:
+        """The fields as text, and the line itself if it has not as many."""
+        ddl = ", ".join(f"c{k} STRING" for k in range(width)) + f", {CORRUPT} STRING"
+        return F.from_csv("value", ddl, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+
+    # A column for each number of fields: a line is parsed once, and its columns are picked from that by its header. The generator
+    # of one row keeps conditions on the columns from being moved below, where every use of a column would parse the line again.
+    by_width: dict[int, list[int]] = {}
+    for k, found in enumerate(names):
+        by_width.setdefault(len(found), []).append(k)
+    shape = F.array_position(F.array(*[F.lit(line) for line in shapes]), F.col("header")) - 1
+    of_width = {w: F.when(F.col("shape").isin(ks), parsed(w)).alias(f"w{w}") for w, ks in by_width.items()}
+    once = F.explode(F.array(F.struct(*of_width.values()))).alias("p")
+    split = lines.select("value", shape.alias("shape")).select("value", "shape", once)
+
+    def field(name: str) -> Column:
+        at: dict[tuple[int, int], list[int]] = {}
+        for k, found in enumerate(names):
+            if name in found:
+                at.setdefault((len(found), found.index(name)), []).append(k)
+        picked = [F.when(F.col("shape").isin(ks), F.col(f"p.w{w}")[f"c{c}"]) for (w, c), ks in at.items()]
+        return F.coalesce(*picked, F.lit(None).cast("string")).alias(name)
+
+    refused = F.coalesce(*[F.col(f"p.w{w}")[CORRUPT] for w in by_width]).alias(CORRUPT)
+    row = split.select("value", F.struct(*[field(f.name) for f in schema], refused).alias("f"))
     wrong = [
         F.when(F.col(f"f.{f.name}").isNotNull() & _typed(F.col(f"f.{f.name}"), f.dataType).isNull(), F.lit(f.name)) for f in schema
     ]

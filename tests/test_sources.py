@@ -36,6 +36,18 @@ def test_every_file_is_read_by_its_own_header(spark, tmp_path):
     assert as_set(readers.reject_counts(read)) == {("fields", 1), ("item_id", 1)}
 
 
+def test_a_line_is_parsed_once_and_casts_that_cannot_fit_are_not_tried(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("user_id,item_id,rating,timestamp\n1, 2 ,1e1,t\n+3,-4.00,many,t\n5,6,2.5x,t\n7,8,0x1p1,t\n9,9,-Inf,t\n")
+    (tmp_path / "b.csv").write_text("rating,item_id,user_id,timestamp,note\n.5,1e2,4.,t,\nNaN,12345678901234567890,1,t,\n1d,1.5,2,t,\n")
+    read = readers.scan_interactions(spark, str(tmp_path))
+    assert as_set(readers.accepted(read), "user_id", "item_id", "rating") == {
+        (1, 2, 10.0), (7, 8, 2.0), (9, 9, float("-inf")), (4, 100, 0.5),
+    }
+    assert as_set(readers.reject_counts(read)) == {("rating", 2), ("item_id", 2)}
+    for asked in (readers.accepted(read), readers.rejected(read), readers.reject_counts(read)):
+        assert asked._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 2  # one for each number of fields
+
+
 def test_a_header_without_required_columns_is_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text("user_id,item_id,rating\n1,2,3.5\n")
     with pytest.raises(ValueError, match="timestamp"):
