@@ -106,16 +106,20 @@ def user_features(
 
 
 def item_activity_agg(df: DataFrame, approximate: bool = False) -> DataFrame:
-    return (
-        df.filter(F.col("item_id").isNotNull())
-        .groupBy("item_id")
-        .agg(
-            F.count("user_id").alias("total_interactions"),
-            _distinct("user_id", approximate).alias("unique_users"),
-            stable_mean(F.col("rating")).alias("avg_rating_received"),
-            F.stddev_samp("rating").alias("std_rating_received"),
-        )
-    )
+    """One row per item. The exact distinct count has a grouping of its own, so what is held per (item, user) is only that pair."""
+    known = df.filter(F.col("item_id").isNotNull())
+    figures = [
+        F.count("user_id").alias("total_interactions"),
+        stable_mean(F.col("rating")).alias("avg_rating_received"),
+        F.stddev_samp("rating").alias("std_rating_received"),
+    ]
+    if approximate:
+        out = known.groupBy("item_id").agg(*figures, _distinct("user_id", True).alias("unique_users"))
+    else:
+        pairs = known.filter(F.col("user_id").isNotNull()).select("item_id", "user_id").distinct()
+        users = pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("unique_users"))
+        out = known.groupBy("item_id").agg(*figures).join(users, "item_id", "left").na.fill({"unique_users": 0})
+    return out.select("item_id", "total_interactions", "unique_users", "avg_rating_received", "std_rating_received")
 
 
 def popularity_score(items: DataFrame, count: str = "total_interactions") -> DataFrame:

@@ -1,10 +1,11 @@
+import re
 import statistics
 
 import pytest
 
 from affinis.operators import eda, features
 from affinis.schemas import FEATURE_TABLES
-from tests.helpers import as_dict, as_set
+from tests.helpers import as_dict, as_set, plan_of
 
 IX = "user_id BIGINT, item_id BIGINT, rating DOUBLE, timestamp STRING, event_type STRING"
 AS_OF = "2024-01-11 00:00:00"
@@ -137,3 +138,12 @@ def test_box_stats(spark, hot_rows):
     df = spark.createDataFrame([("a", p) for p in prices] + [(None, 1.0)], "category STRING, price DOUBLE")
     found = eda.price_box_stats(df, hot_rows).collect()
     assert [tuple(r) for r in found] == [("a", 2.0, 3.0, 4.0, 1.0, 4.0, 1)]
+
+
+def test_only_the_pair_is_held_for_distinct_users(spark):
+    rows = [(1, 7, 4.0), (1, 7, 2.0), (2, 7, 3.0), (None, 7, 1.0), (None, 8, 5.0), (3, None, 1.0)]
+    df = spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    found = features.item_activity_agg(df)
+    assert as_set(found, "item_id", "total_interactions", "unique_users", "avg_rating_received") == {(7, 3, 2, 2.5), (8, 0, 0, 5.0)}
+    by_pair = re.findall(r"keys=\[item_id#\d+L, user_id#\d+L\], functions=\[(.*?)\]", plan_of(found, "simple"))
+    assert by_pair and not any(by_pair)
