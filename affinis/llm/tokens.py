@@ -15,7 +15,15 @@ import numpy as np
 
 # Letters that no normalisation changes and that form one word of the tokenizer, then punctuation.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-MAX_CHUNKS, MAX_WORDS = 700_000, 700_000
+MAX_CHUNKS, MAX_WORDS = 400_000, 400_000  # of each of two generations
+
+
+def _recalled(keys, old: dict, young: dict) -> list:
+    """Take what the old generation knows over to the young one; the keys that it does not know."""
+    if not old:
+        return list(keys)
+    young.update((k, old[k]) for k in keys if k in old)
+    return [k for k in keys if k not in old]
 
 
 class Encoder:
@@ -38,8 +46,11 @@ class Encoder:
         # Words are looked up in lower case, so every letter of theirs must have the ids of its lower case.
         letters = " ".join(2 * chr(c) for c in range(0x100) if PLAIN.fullmatch(chr(c)))
         self.by_word = self.by_chunk and bool(ends.any()) and self._ids([letters]) == self._ids([letters.lower()])
+        # What is looked up moves to the young generation; when that is full it becomes the old one.
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_chunks: dict[bytes, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -61,7 +72,7 @@ class Encoder:
 
     def _learn(self, missing: list[bytes]) -> None:
         if len(self.words) > MAX_WORDS:
-            self.words.clear()
+            self.old_words, self.words = self.words, {}
         plain, other = [], []
         for chunk in missing:
             text = chunk.decode("utf-8")
@@ -70,7 +81,7 @@ class Encoder:
                 plain.append((chunk, found[1].lower(), found[2]))
             else:
                 other.append((chunk, text))
-        self._learn_words(list(dict.fromkeys(w for _, w, _ in plain if w not in self.words)))
+        self._learn_words(_recalled(dict.fromkeys(w for _, w, _ in plain if w not in self.words), self.old_words, self.words))
         marks = list(dict.fromkeys(m for _, _, m in plain if m and m not in self.words))
         self.words.update(zip(marks, self._ids(marks)))
         for chunk, word, mark in plain:
@@ -82,9 +93,9 @@ class Encoder:
             return self._ids(texts)
         split = [t.encode("utf-8").split() for t in texts]
         if len(self.chunks) > MAX_CHUNKS:
-            self.chunks.clear()
+            self.old_chunks, self.chunks = self.chunks, {}
         have = self.chunks
-        missing = [c for c in set().union(*split) if c not in have]
+        missing = _recalled(set().union(*split).difference(have), self.old_chunks, have)
         if missing:
             self._learn(missing)
         get = have.__getitem__

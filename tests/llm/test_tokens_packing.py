@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from affinis.llm import packing, token_files
+from affinis.llm import packing, token_files, tokens
 from affinis.llm.common import table
 from affinis.llm.tokens import Encoder
 from tests.llm.brute import NASTY, nasty
@@ -107,3 +107,17 @@ def test_assembled_sequences(spark, sf):
     for r in packing.assemble(packed).collect():
         size = len(r.ids) // 4
         assert size == packing.CAPACITY or size == r.n_tokens and size & (size - 1) == 0
+
+
+def test_full_caches_keep_what_is_used(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_CHUNKS", 40)
+    monkeypatch.setattr(tokens, "MAX_WORDS", 40)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder, learned = tokens.Encoder(path), []
+    ids = coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda texts: (learned.extend(" ".join(texts).split()), ids(texts))[1])
+    texts = [f"Often, often 3.5 {' '.join(f'w{chr(97 + k % 26)}{chr(97 + k // 26)} x{k}{j}' for j in range(15))}" for k in range(60)]
+    found = [coder.encode([t])[0] for t in texts]
+    assert found == ids(texts)
+    assert learned.count("often") == 1 and learned.count("3.5") == 1
+    assert len(coder.chunks) <= 40 + 40 and len(coder.old_chunks) <= 40 + 40
