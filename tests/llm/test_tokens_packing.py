@@ -121,3 +121,25 @@ def test_full_caches_keep_what_is_used(monkeypatch):
     assert found == ids(texts)
     assert learned.count("often") == 1 and learned.count("3.5") == 1
     assert len(coder.chunks) <= 40 + 40 and len(coder.old_chunks) <= 40 + 40
+
+
+def test_chunks_of_many_kinds_give_the_ids_of_whole_texts(plain, monkeypatch):
+    odd = [
+        "It's IT'S don't DON'T", "word,word.Word!!Éa...b a-'s É'S ÀÉß÷×x ÿ.Ÿ", "<|endoftext|> a<|endoftext|>b <|ENDOFTEXT|>",
+        "e\u0301. E\u0301! =\u0338 a=\u0338", "(583) 3.5, x3.y _a_ a_b\\c", "\u00a0a\u2003b\x1cc\x85d", "İstanbul ſs K Å ﬁ", "😀a 😀, a😀.", "", " \t\n",
+    ]
+    texts = odd + ["long " * 400 + " ".join(odd), "y" * 3000, *odd]
+    for block in (1, 50, 1 << 20):
+        monkeypatch.setattr(tokens, "BLOCK", block)
+        assert [np.frombuffer(f, "<u4").tolist() for f in Encoder(PATH).encode(texts)] == [plain(t) for t in texts]
+    # Equal hashes of different chunks are found out.
+    monkeypatch.setattr(tokens, "mix", lambda x: x % np.uint64(3))
+    assert [np.frombuffer(f, "<u4").tolist() for f in Encoder(PATH).encode(texts)] == [plain(t) for t in texts]
+
+
+def test_words_are_learned_once_whatever_their_case_and_marks(monkeypatch):
+    coder, learned = Encoder(PATH), []
+    ids = coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda texts: (learned.extend(" ".join(texts).split()), ids(texts))[1])
+    coder.encode(["Élan élan, ÉLAN&&& élan### Élan.$$$", "élan"])
+    assert learned.count("élan") == 1 and len(learned) == 5
