@@ -7,10 +7,11 @@ common shingle among the rarest of either document (the shortest prefix that any
 block holds the documents that share one; blocks of the same documents are one. Inside the blocks the metric method runs:
 
 1. Every block has a pivot (a random member). A document belongs to the Voronoi region of the pivot with which it shares
-   most blocks; its exact distance to that pivot is taken, and it links to a pivot within EPS.
+   most blocks; its exact distance to that pivot is taken, and it links to a pivot within EPS. Here and below, a parity sketch
+   of two bits a shingle first tells pairs that are certainly apart; whole sets are sent for the others only.
 2. Links are contracted to components. Blocks inside one component are done. In the others every member is paired with the
-   nearest member (by a bound of the distance) of another component, and links are contracted again, as long as many of these
-   pairs are links; a group of near copies of any size becomes one component with about as many tests as it has members.
+   nearest member (by a bound of the distance) of another component, in parts of at most about CELL members that are dealt anew
+   each time, and links are contracted again, as long as many of these pairs are links; a group of near copies of any size becomes one component with about as many tests as it has members.
 3. What is left is joined block by block: pairs of different components, in cells of bounded size (a block of m
    documents is dealt over m / CELL parts, and each pair of parts is a cell). Regions do not deal the pairs. The triangle
    inequality keeps pairs with a common pivot in windows of width EPS around their distances to it, sizes and a parity
@@ -44,6 +45,7 @@ from affinis.session import drop_folder, pin, release_shuffles, scratch_dir, unp
 WORDS, PERCENT = 5, 80
 UNIT, CELL, CHUNK, FREQUENT = 6 << 20, 1024, 1 << 16, 1 << 17
 SIGNATURE = 8  # longs
+SLOTS = 1 << 20  # of the nodes whose sets are wanted, at most as many rows are broadcast
 STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -96,6 +98,22 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((slots & 1).astype(np.uint8)).view(np.uint64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity as in `signature`, in a power of two of slots, two a shingle at least; its halves xored are that of half the slots."""
+    slots = 1 << max((64 * SIGNATURE - 1).bit_length(), (2 * len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % slots, minlength=slots)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
+
+
+def sketches_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the size of the set difference."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def prefix_length(n: int) -> int:
     return n - (-(-PERCENT * n // 100)) + 1
 
@@ -250,14 +268,12 @@ def _pivots(blocks: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, members: DataFrame, blocks: DataFrame) -> DataFrame:
-    """node, pivot, is_pivot, n, shingles (sorted, packed), signature of the nodes in blocks; one document each is read again."""
+    """node, pivot, n, shingles (sorted, packed), signature, sketch of the nodes in blocks; one document each is read again."""
     regions = pin(_pivots(blocks))
-    used = regions.select(F.col("pivot").alias("node"), F.lit(True).alias("is_pivot")).distinct()
     first = members.groupBy("node").agg(F.min(F.struct("key_id", "key_mark")).alias("k"))
     wanted = (
-        blocks.select("node").distinct().join(first, "node").join(regions, "node", "left").join(used, "node", "left")
-        .select("k.key_id", "k.key_mark", "pivot", F.coalesce("is_pivot", F.lit(False)).alias("is_pivot"))
-    )
+        blocks.select("node").distinct().join(first, "node").join(regions, "node", "left").select("k.key_id", "k.key_mark", "pivot")
+    )
 
     def run(batches):
         for lo, texts, batch in _batches(batches, 0):
@@ -265,17 +281,18 @@ def _sets(docs: DataFrame, members: DataFrame, blocks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([node_of(s) for s in sets], pa.binary()),
-                    *(batch.column(c).slice(lo, len(texts)) for c in (1, 2)),
+                    batch.column(1).slice(lo, len(texts)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_gaps(s) if len(s) else b"" for s in sets], pa.binary()),
                     pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
                 ],
-                ["node", "pivot", "is_pivot", "n", "shingles", "signature"],
+                ["node", "pivot", "n", "shingles", "signature", "sketch"],
             )
 
     # Rows with equal id and text are one document; one of them is read.
-    texts = docs.join(wanted, ["key_id", "key_mark"]).select("text", "pivot", "is_pivot")
-    sets = pin(texts.mapInArrow(run, "node binary, pivot binary, is_pivot boolean, n long, shingles binary, signature binary"))
+    texts = docs.join(wanted, ["key_id", "key_mark"]).select("text", "pivot")
+    sets = pin(texts.mapInArrow(run, "node binary, pivot binary, n long, shingles binary, signature binary, sketch binary"))
     unpin(regions)
     return sets
 
@@ -298,29 +315,61 @@ def _measured(joined: DataFrame) -> DataFrame:
     return joined.select("u", "v", "a", "b").mapInArrow(run, "u binary, v binary, common long, total long")
 
 
+def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v, close of pairs: false where sizes or sketches show that they do not link."""
+
+    def run(batches):
+        for batch in batches:
+            m, n, a, b = (batch.column(c).to_pylist() for c in range(2, 6))
+            close = [
+                100 * min(i, j) >= PERCENT * max(i, j)
+                and (100 + PERCENT) * sketches_apart(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) <= (100 - PERCENT) * (i + j)
+                for i, j, x, y in zip(m, n, a, b)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(close, pa.bool_())], ["u", "v", "close"])
+
+    side = lambda c, n, s: sets.select(F.col("node").alias(c), F.col("n").alias(n), F.col("sketch").alias(s))
+    joined = pairs.select("u", "v").join(side("u", "m", "a"), "u").join(side("v", "n", "b"), "v")
+    return joined.select("u", "v", "m", "n", "a", "b").mapInArrow(run, "u binary, v binary, close boolean")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v, common, total of pairs, written; null where their sketches show that they do not link. Few sets but those of the others are sent."""
+    told = pin(_sketched(pairs, sets))
+    close = told.where("close").select("u", "v")
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    wanted = close.select(F.explode(F.array("u", "v")).alias("node")).select(slot("node").alias("slot")).distinct()
+    some = sets.join(F.broadcast(wanted), slot("node") == F.col("slot"), "left_semi")
+    side = lambda c, s: some.select(F.col("node").alias(c), F.col("shingles").alias(s))
+    exact = _measured(close.join(side("u", "a"), "u").join(side("v", "b"), "v"))
+    none = F.lit(None).cast("long")
+    out = pin(exact.unionByName(told.where("NOT close").select("u", "v", none.alias("common"), none.alias("total"))))
+    unpin(told)
+    return out
+
+
 def _to_pivots(sets: DataFrame) -> DataFrame:
-    """The exact distance of every node to the pivot of its region; each set is sent once, to its pivot."""
-    own = sets.where("pivot IS NOT NULL").select(F.col("node").alias("u"), F.col("pivot").alias("v"), F.col("shingles").alias("a"))
-    return _measured(own.join(sets.where("is_pivot").select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v"))
+    """Every node against the pivot of its region."""
+    return _verified(sets.where("pivot IS NOT NULL").select(F.col("node").alias("u"), F.col("pivot").alias("v")), sets)
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The exact distances of written pairs; only sets of theirs are sent."""
-    side = lambda c, s: (
-        sets.join(pairs.select(F.col(c).alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias(c), F.col("shingles").alias(s))
-    )
-    return _measured(pairs.select("u", "v").join(side("u", "a"), "u").join(side("v", "b"), "v"))
+    """Written pairs of nodes against each other."""
+    return _verified(pairs, sets)
+
 
+def _cells(blocks: DataFrame, known: DataFrame, sets: DataFrame, deal: int = 0) -> DataFrame:
+    """Rows of the open blocks, dealt to cells of bounded size so that any two members of a block meet in one of them.
 
-def _cells(blocks: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of the open blocks, dealt to cells of bounded size so that any two members of a block meet in one of them."""
+    Cells of one part (i = j) hold each row once; another `deal` puts other members into a part.
+    """
     sizes = blocks.groupBy("shingle").agg(F.count("*").alias("m"))
     rows = (
         blocks.join(sizes, "shingle")
         .join(sets.select("node", "signature"), "node")
         .join(known, "node", "left")
         .withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("m") / CELL)).cast("int"))
-        .withColumn("part", F.pmod(F.xxhash64("node", "shingle"), F.col("parts")).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("node", "shingle", F.lit(deal)), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
             "shingle", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part",
@@ -385,18 +434,21 @@ def _whole_cells(batches):
 
 
 def _nearest(cells: DataFrame) -> DataFrame:
-    """Pairs (u, v): every open node with the nearest member, by signature, of another component in its cells."""
+    """Pairs (u, v): every open node with the nearest member, by signature, of another component in its cells; a row a member and cell."""
 
     def run(batches):
         for table in _whole_cells(batches):
-            node, best = table["node"].combine_chunks(), []
+            node = table["node"].combine_chunks()
+            least, other = np.full(len(node), np.inf), np.zeros(len(node), dtype=np.int64)
             for a, b, apart in _partners(table):
                 both = [np.concatenate(x) for x in ((a, b), (b, a), (apart, apart))]
                 order = np.lexsort((both[2], both[0]))
                 own, at = np.unique(both[0][order], return_index=True)
-                best.append((own, both[1][order][at], both[2][order][at]))
-            own, other, apart = (np.concatenate(x) for x in zip(*best))
-            yield pa.RecordBatch.from_arrays([node.take(own), node.take(other), pa.array(apart)], ["u", "v", "apart"])
+                at = order[at]
+                less = both[2][at] < least[own]
+                least[own[less]], other[own[less]] = both[2][at[less]], both[1][at[less]]
+            own = np.flatnonzero(least < np.inf)
+            yield pa.RecordBatch.from_arrays([node.take(own), node.take(other[own]), pa.array(least[own])], ["u", "v", "apart"])
 
     found = cells.mapInArrow(run, "u binary, v binary, apart double")
     nearest = found.groupBy("u").agg(F.min(F.struct("apart", "v")).alias("b")).select("u", F.col("b.v").alias("v"))
@@ -452,9 +504,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             unpin(roots)
         return after
 
-    tested = [pin(_to_pivots(sets))]
+    tested = [_to_pivots(sets)]
     release_shuffles(spark)
-    known = tested[0].select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("near"))
+    known = tested[0].where("total IS NOT NULL").select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("near"))
     roots = contract(None, tested[0])
     left = _open(blocks, roots, tested[0])
     unpin(blocks)
@@ -462,9 +514,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # by about as many pairs as it has members, before all pairs of different components are asked for.
     linking = True
     while linking:
-        pairs = pin(_nearest(_cells(left, known, sets)))
+        pairs = pin(_nearest(_cells(left, known, sets, len(tested)).where("i = j")))
         release_shuffles(spark)
-        tested.append(pin(_distances(pairs, sets)))
+        tested.append(_distances(pairs, sets))
         release_shuffles(spark)
         roots = contract(roots, tested[-1])
         before, left = left, _open(left, roots, tested[-1])
@@ -474,7 +526,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     done = _sides(reduce(DataFrame.unionByName, [t.select("u", "v") for t in tested])).distinct()
     pairs = pin(_all_pairs(_cells(left, known, sets)).join(done, ["u", "v"], "left_anti"))
     release_shuffles(spark)
-    more = pin(_distances(pairs, sets))
+    more = _distances(pairs, sets)
     roots = contract(roots, more)
     unpin(sets, pairs, more, left, *tested)
     release_shuffles(spark)

@@ -131,3 +131,39 @@ def test_components_of_chains_and_hubs(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {**{i: 0 for i in range(1, 61)}, **{100 + i: 100 for i in range(1, 50)}, 200: 100}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_sketches_tell_large_sets_apart_and_lose_no_link():
+    j, draw = jaccard_regions, np.random.default_rng(2)
+    for n in (1, 40, 700, 3000):
+        x, y = (np.unique(draw.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(2))
+        for z in (y, x[: n - n // 10], np.concatenate([x[n // 5 :], y[: n // 2]]), y[: n // 3]):
+            assert j.sketches_apart(j.sketch(x), j.sketch(z)) <= len(np.setxor1d(x, z))
+    limit = (100 - j.PERCENT) * 2 * 3000 // (100 + j.PERCENT)
+    assert j.sketches_apart(j.sketch(x), j.sketch(y)) > limit >= np.bitwise_count(j.signature(x) ^ j.signature(y)).sum()
+
+
+def test_sets_of_pairs_that_are_apart_are_not_measured(spark):
+    j, draw = jaccard_regions, np.random.default_rng(3)
+    x, y = (np.unique(draw.integers(0, 2**63, 3000, dtype=np.uint64)) for _ in range(2))
+    rows = [(k, len(s), j._gaps(s), j.sketch(s).tobytes()) for k, s in ((b"a", x), (b"b", y), (b"c", x[50:]))]
+    sets = spark.createDataFrame(rows, "node binary, n long, shingles binary, sketch binary")
+    pairs = spark.createDataFrame([(b"a", b"b"), (b"a", b"c"), (b"b", b"c")], "u binary, v binary")
+    found = {(bytes(r.u), bytes(r.v)): (r.common, r.total) for r in j._distances(pairs, sets).collect()}
+    assert found == {(b"a", b"b"): (None, None), (b"b", b"c"): (None, None), (b"a", b"c"): (2950, 3000)}
+
+
+def test_parts_of_a_deal_hold_each_row_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_regions, "CELL", 8)
+    monkeypatch.setattr(jaccard_regions, "CHUNK", 10)
+    name = lambda k: k.to_bytes(16, "big")
+    blocks = spark.createDataFrame([(1, name(k), 10, name(k)) for k in range(80)], "shingle long, node binary, n long, root binary")
+    sets = spark.createDataFrame([(name(k), bytes(8 * jaccard_regions.SIGNATURE)) for k in range(80)], "node binary, signature binary")
+    known = spark.createDataFrame([], "node binary, pivot binary, near double")
+    parts = []
+    for deal in (1, 2):
+        own = jaccard_regions._cells(blocks, known, sets, deal).where("i = j")
+        parts.append({r.node: r.i for r in own.collect()})
+        assert own.count() == len(parts[-1]) == 80
+        assert jaccard_regions._nearest(own).count() <= 80
+    assert parts[0] != parts[1]
