@@ -7,19 +7,23 @@ from pyspark.sql import functions as F
 
 from affinis.session import pin, unpin
 
+EDGES_A_TASK = 50_000  # a task that writes a round meets at most about twice as many
+
 
 def _state(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, at_most: int | None = None) -> DataFrame:
     """node, root (smallest node of its component) for every node of the edges (u, v) but the roots themselves; `unpin` removes it.
 
     Each round hangs all larger neighbours of a node on its smallest one, then all smaller ones; the number of edges
-    never grows, a hub is a join key that Spark may split, and nothing but two sums a round reaches the driver.
+    never grows, a hub is a join key that Spark may split, and nothing but two sums a round reaches the driver. So as many
+    tasks write a round as the edges of the one before need; `at_most`, if known, bounds the edges given.
     """
     now = pin(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(),
+        at_most and -(-at_most // EDGES_A_TASK),
     )
     state = _state(now)
     while state[0]:
@@ -28,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        after = pin(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        after = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        after = pin(after, -(-state[0] // EDGES_A_TASK))
         unpin(now)
         now, before = after, state
         state = _state(now)

@@ -45,6 +45,7 @@ from affinis.session import drop_folder, pin, release_shuffles, scratch_dir, unp
 WORDS, PERCENT = 5, 80
 UNIT, CELL, CHUNK, FREQUENT = 6 << 20, 1024, 1 << 16, 1 << 17
 SIGNATURE = 8  # longs
+PAIRS_A_TASK, ROWS_A_TASK = 5_000, 50_000  # pairs with their sets, rows of blocks: of a task that writes them
 SLOTS = 1 << 20  # of the nodes whose sets are wanted, at most as many rows are broadcast
 STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -335,7 +336,8 @@ def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """u, v, common, total of pairs, written; null where their sketches show that they do not link. Few sets but those of the others are sent."""
-    told = pin(_sketched(pairs, sets))
+    tasks = -(-(pairs.count() + sets.count()) // PAIRS_A_TASK)
+    told = pin(_sketched(pairs, sets), tasks)
     close = told.where("close").select("u", "v")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
     wanted = close.select(F.explode(F.array("u", "v")).alias("node")).select(slot("node").alias("slot")).distinct()
@@ -343,7 +345,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     side = lambda c, s: some.select(F.col("node").alias(c), F.col("shingles").alias(s))
     exact = _measured(close.join(side("u", "a"), "u").join(side("v", "b"), "v"))
     none = F.lit(None).cast("long")
-    out = pin(exact.unionByName(told.where("NOT close").select("u", "v", none.alias("common"), none.alias("total"))))
+    apart = told.where("NOT close").select("u", "v", none.alias("common"), none.alias("total"))
+    out = pin(exact.unionByName(apart), tasks)
     unpin(told)
     return out
 
@@ -471,7 +474,7 @@ def _sides(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
-def _open(blocks: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
+def _open(blocks: DataFrame, roots: DataFrame, tested: DataFrame, tasks: int) -> DataFrame:
     """Blocks with their members' current roots, without those inside one component and those of one pair that was tested."""
     now = blocks.select("shingle", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     spread = now.groupBy("shingle").agg(
@@ -479,7 +482,7 @@ def _open(blocks: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
     )
     pairs = tested.select(F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"), F.lit(True).alias("done")).distinct()
     spread = spread.where("mixed").join(pairs, ["lo", "hi"], "left").where("m > 2 OR done IS NULL")
-    return pin(now.join(spread.select("shingle"), "shingle"))
+    return pin(now.join(spread.select("shingle"), "shingle"), tasks)
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -493,13 +496,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     release_shuffles(spark)
     sets = _sets(keyed, members, blocks)
     release_shuffles(spark)
+    nodes, tasks = sets.count(), -(-blocks.count() // ROWS_A_TASK)  # no later table of nodes or blocks has more rows
 
     def contract(roots: DataFrame | None, measured: DataFrame) -> DataFrame:
         """Roots after the links among measured pairs."""
         edges = measured.where(linked).select("u", "v")
         if roots is not None:
             edges = edges.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
-        after = components(edges)
+        after = components(edges, measured.count() + nodes)
         if roots is not None:
             unpin(roots)
         return after
@@ -508,18 +512,18 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     release_shuffles(spark)
     known = tested[0].where("total IS NOT NULL").select(F.col("u").alias("node"), F.col("v").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("near"))
     roots = contract(None, tested[0])
-    left = _open(blocks, roots, tested[0])
+    left = _open(blocks, roots, tested[0], tasks)
     unpin(blocks)
     # Nearest members are linked as long as a quarter of the pairs tested are links; so a group of near copies is contracted
     # by about as many pairs as it has members, before all pairs of different components are asked for.
     linking = True
     while linking:
-        pairs = pin(_nearest(_cells(left, known, sets, len(tested)).where("i = j")))
+        pairs = pin(_nearest(_cells(left, known, sets, len(tested)).where("i = j")), tasks)
         release_shuffles(spark)
         tested.append(_distances(pairs, sets))
         release_shuffles(spark)
         roots = contract(roots, tested[-1])
-        before, left = left, _open(left, roots, tested[-1])
+        before, left = left, _open(left, roots, tested[-1], tasks)
         unpin(before, pairs)
         tries, hits = tested[-1].agg(F.count("*"), F.count_if(linked)).first()
         linking = 4 * hits > tries

@@ -69,11 +69,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """Write `df` once to reliable storage; later uses see the very same rows.
 
-    Parquet keeps column pruning, pushed filters and size statistics for what reads it afterwards.
+    Parquet keeps column pruning, pushed filters and size statistics for what reads it afterwards. Where the caller knows
+    how many rows the last step can meet, `tasks` keeps it from being dealt to more tasks, each of which writes a file.
     """
+    if tasks is not None:
+        df = df.coalesce(max(1, tasks))
     path = scratch_dir(df.sparkSession, "pin")
     df.write.parquet(path)
     pinned = df.sparkSession.read.schema(df.schema).parquet(path)

@@ -133,6 +133,22 @@ def test_components_of_chains_and_hubs(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_rounds_are_written_by_as_many_tasks_as_their_rows_need(spark):
+    j, name = jaccard_regions, "spark.sql.adaptive.coalescePartitions.enabled"
+    sets = [(str(k).encode(), 1, j._gaps(x), j.sketch(x).tobytes()) for k in range(400) for x in [np.array([k + 1], np.uint64)]]
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        assert len(components(spark.range(400).selectExpr("id + id % 7 + 1 AS u", "id AS v")).inputFiles()) == 1
+        sets = spark.createDataFrame(sets, "node binary, n long, shingles binary, sketch binary")
+        pairs = sets.selectExpr("node AS u", "node AS v").repartition(8)
+        found = j._distances(pairs, sets)
+        assert found.where("common = 1 AND total = 1").count() == 400
+        assert len(found.inputFiles()) == 1
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_sketches_tell_large_sets_apart_and_lose_no_link():
     j, draw = jaccard_regions, np.random.default_rng(2)
     for n in (1, 40, 700, 3000):
