@@ -15,7 +15,7 @@ from affinis.functions.tiles import top_candidates
 from affinis.operators.evaluate import evaluate_recommendations, relevance_ground_truth
 from affinis.operators.split import temporal_holdout_split
 from affinis.operators.svd import GRAM_LIMIT, SvdModel, explained_variance, truncated_svd
-from affinis.session import pin
+from affinis.session import pin, release_shuffles
 
 # Content features in their order, and the number of neighbours compared.
 CONTENT_FEATURES = [
@@ -111,7 +111,9 @@ def item_similarity_top_n(
     items neighbours are searched, not among which. Items of one vector have the same neighbours but for themselves, so every
     different vector is searched once, among the different vectors; each stands for its first n + 1 items.
     """
+    spark = items.sparkSession
     vectors = pin(_unit_vectors(items, features, standardize))
+    release_shuffles(spark)  # what the features were made from
     place = F.row_number().over(W.partitionBy("vector").orderBy("item_id"))
     groups = pin(
         vectors.withColumn("place", place)
@@ -130,12 +132,13 @@ def item_similarity_top_n(
         queries = pin(queries.join(members.select("query_id").distinct(), "query_id", "left_semi"))
     best = top_candidates(queries, groups.select("item_id", "vector"), n + 1, digits=digits, **tiles)
     each = F.transform("ids", lambda i: F.struct((-F.col("score")).alias("away"), i.alias("similar_id")))
-    lists = (
+    lists = pin(
         best.join(groups.select("item_id", "ids"), "item_id")
         .groupBy("query_id")
         .agg(F.array_sort(F.flatten(F.collect_list(each))).alias("near"))
         .select("query_id", F.slice("near", 1, n + 1).alias("near"))
     )
+    release_shuffles(spark)
     others = F.filter("near", lambda x: x["similar_id"] != F.col("item_id"))
     return (
         members.join(lists, "query_id")

@@ -329,3 +329,63 @@ def test_repeated_pairs_add_up_and_no_cells_give_no_factors(spark):
     empty = svd.truncated_svd(twice.limit(0), 2)
     assert empty.user_factors.collect() == [] and len(empty.singular_values) == 0
     assert svd.explained_variance(twice.limit(0), empty).collect() == [(None,)]
+
+
+def test_second_pass_keeps_only_what_comes_before_the_place_to_beat(spark, monkeypatch):
+    """Many candidates tie at the rounded best score, and queries lie near the borders of cells: same rows as all pairs, and the
+    tiles of the second pass give far fewer of them than n for each query and cell."""
+    rng = np.random.default_rng(31)
+    values = np.c_[rng.uniform(size=3000), rng.integers(0, 3, 3000), 40 + rng.uniform(size=3000)]
+    unit = values / np.linalg.norm(values, axis=1)[:, None]
+    ids = rng.permutation(3000)
+    items = pin(spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, unit)], "item_id BIGINT, vector ARRAY<DOUBLE>"))
+    queries = pin(items.withColumnRenamed("item_id", "query_id"))
+    passes, plain, asked, ask = [], tiles._tiles, [], tiles._asking
+
+    def spy(left, right, tasks, scorer):
+        found = pin(plain(left, right, tasks, scorer))
+        passes.append(found.agg(F.sum(F.size("items"))).first()[0])
+        return found
+
+    def cells_asked(*args):
+        found = ask(*args)
+        asked.append(found.agg(F.sum(F.size("cells"))).first()[0])
+        return found
+
+    monkeypatch.setattr(tiles, "_tiles", spy)
+    monkeypatch.setattr(tiles, "_asking", cells_asked)
+    found = top_candidates(queries, items, 5, digits=4, cell_rows=40, direct_pairs=0, skip_same=True)
+    scores = np.round(unit @ unit.T, 4)
+    np.fill_diagonal(scores, -np.inf)
+    want = set()
+    for q in range(3000):
+        best = np.lexsort((ids, -scores[q]))[:5]
+        want |= {(int(ids[q]), int(ids[i]), float(scores[q, i]), k + 1) for k, i in enumerate(best)}
+    assert as_set(found, "query_id", "item_id", "score", "rank") == want and found.count() == len(want)
+    assert passes[0] >= 3000 * 5 and asked[1] > 3000
+    assert passes[1] < 0.75 * 5 * asked[1]
+
+
+def test_bounds_hold_and_cells_behind_a_plane_fall_away():
+    rng = np.random.default_rng(32)
+    for spread in (0.0, 1.5):
+        vectors = rng.normal(size=(4000, 4))
+        vectors *= (rng.lognormal(0, spread, 4000) / np.linalg.norm(vectors, axis=1))[:, None]
+        centres = np.vstack([vectors[:200], vectors[:3] * (1 + 1e-9)])
+        cell = tiles._nearest(vectors, centres)
+        radius, norm = np.zeros(203), np.zeros(203)
+        np.maximum.at(radius, cell, np.linalg.norm(vectors - centres[cell], axis=1))
+        np.maximum.at(norm, cell, np.linalg.norm(vectors, axis=1))
+        bounds = tiles.Cells(centres, radius, norm, np.bincount(cell, minlength=203)).bounds(vectors[::20])
+        scores = vectors[::20] @ vectors.T
+        best = np.full((200, 203), -np.inf)
+        for c in range(203):
+            best[:, c] = scores[:, cell == c].max(axis=1, initial=-np.inf)
+        assert (best <= bounds).all()
+        if spread:
+            continue
+        beat = np.sort(scores, axis=1)[:, -5][:, None]
+        lengths = np.linalg.norm(vectors[::20], axis=1)[:, None]
+        gap = np.maximum(0, np.linalg.norm(vectors[::20][:, None] - centres[None], axis=2) - radius)
+        balls = np.minimum((lengths**2 + norm**2 - gap**2) / 2, vectors[::20] @ centres.T + lengths * radius)
+        assert (bounds >= beat).sum() < 0.8 * (np.minimum(balls, lengths * norm) >= beat).sum()
