@@ -19,7 +19,7 @@ from affinis.functions.columns import (
 )
 from affinis.operators.dedup import dedup_keep_first
 from affinis.schemas import EVENT_TYPES
-from affinis.session import pin
+from affinis.session import pin, release_shuffles
 
 # Engagement weights and the recency of users without a valid time.
 EVENT_WEIGHTS = {"purchase": 4, "wishlist": 2, "cart": 2, "view": 1}
@@ -105,8 +105,18 @@ def user_features(
     )
 
 
+def _released(df: DataFrame) -> DataFrame:
+    """`df` written once, without the shuffle files that it took."""
+    written = pin(df)
+    release_shuffles(df.sparkSession)
+    return written
+
+
 def item_activity_agg(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """One row per item. The exact distinct count has a grouping of its own, so what is held per (item, user) is only that pair."""
+    """One row per item. The exact distinct count has a grouping of its own, so what is held per (item, user) is only that pair.
+
+    The interactions are written once for both, and the shuffle files of a step go before the next step starts.
+    """
     known = df.filter(F.col("item_id").isNotNull())
     figures = [
         F.count("user_id").alias("total_interactions"),
@@ -116,9 +126,11 @@ def item_activity_agg(df: DataFrame, approximate: bool = False) -> DataFrame:
     if approximate:
         out = known.groupBy("item_id").agg(*figures, _distinct("user_id", True).alias("unique_users"))
     else:
+        known = _released(known.select("item_id", "user_id", "rating"))
+        totals = _released(known.groupBy("item_id").agg(*figures))
         pairs = known.filter(F.col("user_id").isNotNull()).select("item_id", "user_id").distinct()
         users = pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("unique_users"))
-        out = known.groupBy("item_id").agg(*figures).join(users, "item_id", "left").na.fill({"unique_users": 0})
+        out = totals.join(users, "item_id", "left").na.fill({"unique_users": 0})
     return out.select("item_id", "total_interactions", "unique_users", "avg_rating_received", "std_rating_received")
 
 

@@ -147,3 +147,19 @@ def test_only_the_pair_is_held_for_distinct_users(spark):
     assert as_set(found, "item_id", "total_interactions", "unique_users", "avg_rating_received") == {(7, 3, 2, 2.5), (8, 0, 0, 5.0)}
     by_pair = re.findall(r"keys=\[item_id#\d+L, user_id#\d+L\], functions=\[(.*?)\]", plan_of(found, "simple"))
     assert by_pair and not any(by_pair)
+
+
+def test_item_activity_computes_the_interactions_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(u, u % 4, float(u % 5)) for u in range(40)] + [(None, 1, 2.0), (7, None, 1.0), (8, 0, None), (8, 0, 3.0)]
+    df = spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    found = features.item_activity_agg(df.mapInArrow(counted, df.schema))
+    want = {(0, 12, 10), (1, 10, 10), (2, 10, 10), (3, 10, 10)}
+    assert as_set(found, "item_id", "total_interactions", "unique_users") == want
+    assert seen.value == len(rows)
